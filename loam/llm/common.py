@@ -60,9 +60,10 @@ def with_offsets(df: DataFrame, group: list[str], bucket: str, values: dict[str,
     """
     sums = df.groupBy(*group, bucket).agg(*[F.sum(v).alias(k) for k, v in values.items()])
     earlier = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(*group, bucket, *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"{k}_before") for k in values])
-    same = [df[c].eqNullSafe(sums[c]) for c in (*group, bucket)]
-    on = same[0]
-    for s in same[1:]:
-        on = on & s
-    return df.join(sums, on, "left").select(*[df[c] for c in df.columns], *[sums[f"{k}_before"] for k in values])
+    running = [F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"{k}_before") for k in values]
+    keys = [*group, bucket]
+    sums = sums.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(keys)], *running)
+    on = F.lit(True)
+    for i, c in enumerate(keys):
+        on = on & F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return df.join(sums, on, "left").drop(*[f"_{i}" for i in range(len(keys))])

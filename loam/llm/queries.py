@@ -1,14 +1,68 @@
-"""The queries of this subpackage: each applies one operator to its whole table."""
+"""The queries of this subpackage: each applies one operator to its whole table.
 
+None has an SQL form: fingerprints, sketches, learned models and tokenizers can't be written as SQL over whole tables. Their
+tests hold them against brute-force versions.
+"""
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint
+from . import embed, fingerprint, mixing, packing, pii, quality, secrets, sharding, simhash, substring
 from .common import table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.document_fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints}
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_figures(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeats_removed(table(spark, sf_dir, "documents"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_mixing": op2_mixing,
+    "op3_simhash": op3_simhash,
+    "op4_embeddings": op4_embeddings,
+    "op5_quality": op5_quality,
+    "op6_packing": op6_packing,
+    "op7_pii": op7_pii,
+    "op8_substring": op8_substring,
+    "op9_sharding": op9_sharding,
+    "op10_secrets": op10_secrets,
+}
 ORACLES: dict[str, str] = {}
