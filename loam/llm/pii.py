@@ -105,7 +105,7 @@ def votes(text: str, kind: int, start: int, end: int, base: bool) -> tuple[int,
     ours, others = words & CONTEXT[kind], any(words & c for k, c in enumerate(CONTEXT) if k != kind)
     checks = (
         0,
-        1 if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0")[:4] or "0") <= 255 for p in value.split(".")) and kind == 1 else -1,
+        1 if kind == 1 and _ip_fits(value) else -1,
         1 if luhn(digits) else -1,
         1 if 10 <= len(digits) <= 15 and len(set(digits)) > 3 else -1,
     )
