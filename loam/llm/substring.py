@@ -123,12 +123,9 @@ def _size_of_sketch(docs: DataFrame) -> int:
     return min(MOST_CELLS, 1 << (wanted - 1).bit_length())
 
 
-RECORD = {"bucket": ("int", pa.int32()), "doc": ("long", pa.int64()), "mark": ("long", pa.int64()), "start": ("binary", pa.binary()), "docs": ("binary", pa.binary()), "marks": ("binary", pa.binary()), "places": ("binary", pa.binary()), "a": ("binary", pa.binary()), "b": ("binary", pa.binary())}
-FOUND = ["doc", "mark", "start"]
-
-
-def _ddl(names) -> str:
-    return ", ".join(f"{n} {RECORD[n][0]}" for n in names)
+#: A record holds windows (with hashes a, b) or repeated starts (without) of many documents: parallel arrays as bytes.
+RECORD = {"bucket": pa.int32(), "docs": pa.binary(), "marks": pa.binary(), "places": pa.binary(), "start": pa.binary(), "a": pa.binary(), "b": pa.binary()}
+RECORD_DDL = "bucket int, docs binary, marks binary, places binary, start binary, a binary, b binary"
 
 
 def _again(doc, start, a, b) -> np.ndarray:
@@ -140,24 +137,54 @@ def _again(doc, start, a, b) -> np.ndarray:
     return (doc != doc[first]) | (start != start[first])
 
 
-def _by_document(doc, mark, start, buckets: int):
-    """Records that hold the starts of a document's repeated windows."""
-    order = np.lexsort((start, mark, doc))
-    doc, mark, start = doc[order], mark[order], start[order].astype("<i4")
-    at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1]), True]) if len(doc) else np.zeros(1, int)
-    cuts = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
-    for lo in range(0, len(cuts), 4096):
-        some = cuts[lo : lo + 4096]
-        cols = {"bucket": [int(doc[i] % buckets) for i, _ in some], "doc": [int(doc[i]) for i, _ in some], "mark": [int(mark[i]) for i, _ in some], "start": [start[i:j].tobytes() for i, j in some]}
-        yield pa.RecordBatch.from_arrays([pa.array(cols.get(n, [None] * len(some)), t) for n, (_, t) in RECORD.items()], list(RECORD))
+def _numbered(doc, mark) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each row's number among the different (doc, mark), and these."""
+    order = np.lexsort((mark, doc))
+    d, m = doc[order], mark[order]
+    new = np.r_[True, (d[1:] != d[:-1]) | (m[1:] != m[:-1])] if len(d) else np.zeros(0, bool)
+    own = np.empty(len(d), "i8")
+    own[order] = np.cumsum(new) - 1
+    return own, d[new], m[new]
+
+
+def _packed(owner, own, ids, marks, start, a=None, b=None):
+    """A record for each owner (a bucket) of rows; own numbers their documents in ids and marks."""
+    order = np.lexsort((start, own, owner))
+    owner, own, start = owner[order], own[order], start[order].astype("<i4")
+    a, b = (None if x is None else x[order] for x in (a, b))
+    at = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else np.zeros(1, int)
+    for i, j in zip(at[:-1], at[1:], strict=True):
+        some, places = np.unique(own[i:j], return_inverse=True)
+        cols = {"docs": ids[some], "marks": marks[some], "places": places.astype("<i4"), "start": start[i:j]}
+        cols |= {} if a is None else {"a": a[i:j], "b": b[i:j]}
+        cols = {n: v.tobytes() for n, v in cols.items()} | {"bucket": int(owner[i])}
+        yield pa.RecordBatch.from_arrays([pa.array([cols.get(n)], t) for n, t in RECORD.items()], list(RECORD))
+
+
+def _starts(doc, mark, start, buckets: int):
+    """Records of repeated starts, by their documents' buckets."""
+    own, ids, marks = _numbered(doc, mark)
+    yield from _packed((_mixed(doc.astype("u8")) % np.uint64(buckets)).astype("i8"), own, ids, marks, start)
+
+
+def _unpacked(record) -> tuple[np.ndarray, ...]:
+    _, docs, marks, places, start, a, b = record
+    at = np.frombuffer(places, "<i4")
+    out = np.frombuffer(docs, "<i8")[at], np.frombuffer(marks, "<i8")[at], np.frombuffer(start, "<i4")
+    return out if a is None else (*out, np.frombuffer(a, "<u8"), np.frombuffer(b, "<u4"))
+
+
+def _records(batches):
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
 
 
 def _repeated(docs: DataFrame, buckets: int) -> DataFrame:
-    """(doc, mark, start): the starts, as 32-bit numbers, of repeated windows, in any number of rows a document.
+    """(doc, mark, starts): of each document with repeated windows their starts, as 32-bit numbers.
 
     docs: (doc, mark, text); doc orders documents, and mark tells apart those of one doc."""
     spark = docs.sparkSession
-    cells = _size_of_sketch(docs)
+    cells, n_parts = _size_of_sketch(docs), partitions(spark)
     sketch = spark.sparkContext.broadcast(_sketch(docs, cells))
 
     def flush(ids, marks, held):
@@ -167,65 +194,71 @@ def _repeated(docs: DataFrame, buckets: int) -> DataFrame:
         own, start, a, b = own[order], start[order], a[order], b[order]
         again = _again(ids[own], start, a, b)
         # What starts later than another one of this task is repeated; the first may be too, by another task's.
-        yield from _by_document(ids[own[again]], marks[own[again]], start[again], buckets)
+        yield from _starts(ids[own[again]], marks[own[again]], start[again], buckets)
         own, start, a, b = own[~again], start[~again], a[~again], b[~again]
-        owner = (a % np.uint64(buckets)).astype("i8")
-        order = np.lexsort((start, own, owner))
-        own, start, a, b, owner = own[order], start[order], a[order], b[order], owner[order]
-        at = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
-        for i, j in zip(at[:-1], at[1:], strict=True):
-            some, places = np.unique(own[i:j], return_inverse=True)
-            cols = {"bucket": int(owner[i]), "start": start[i:j].astype("<i4"), "docs": ids[some], "marks": marks[some], "places": places.astype("<i4"), "a": a[i:j], "b": b[i:j]}
-            cols = {n: v if n == "bucket" else v.tobytes() for n, v in cols.items()}
-            yield pa.RecordBatch.from_arrays([pa.array([cols.get(n)], t) for n, (_, t) in RECORD.items()], list(RECORD))
+        yield from _packed((a % np.uint64(buckets)).astype("i8"), own, ids, marks, start, a, b)
 
     def deal(batches):
         known, twice = _WordHashes(), sketch.value
         ids, marks, held, n = [], [], [], 0
-        for batch in batches:
-            for d, m, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = _word_hashes(text, known)
-                if len(h) < WINDOW:
-                    continue
-                grams, at = _anchors(h)
-                ours = np.unique(at)
-                found = _cells(grams[ours], cells)
-                maybe = np.ones(len(ours), bool)
-                for r in range(ROWS):
-                    maybe &= (twice[r, found[r] >> 3] >> (7 - (found[r] & 7)).astype("u1")) & 1 == 1
-                flag = np.zeros(len(grams), bool)
-                flag[ours[maybe]] = True
-                start = np.flatnonzero(flag[at])
-                if len(start):
-                    held.append((np.full(len(start), len(ids), "i4"), start.astype("i4"), _slid(h, WINDOW, 1)[start], (_slid(h, WINDOW, 2)[start] >> np.uint64(32)).astype("u4")))
-                    ids.append(d)
-                    marks.append(m)
-                    n += len(start)
-                if n >= TOGETHER:
-                    yield from flush(ids, marks, held)
-                    ids, marks, held, n = [], [], [], 0
+        for d, m, text in _records(batches):
+            h = _word_hashes(text, known)
+            if len(h) < WINDOW:
+                continue
+            grams, at = _anchors(h)
+            ours = np.unique(at)
+            found = _cells(grams[ours], cells)
+            maybe = np.ones(len(ours), bool)
+            for r in range(ROWS):
+                maybe &= (twice[r, found[r] >> 3] >> (7 - (found[r] & 7)).astype("u1")) & 1 == 1
+            flag = np.zeros(len(grams), bool)
+            flag[ours[maybe]] = True
+            start = np.flatnonzero(flag[at])
+            if len(start):
+                held.append((np.full(len(start), len(ids), "i4"), start.astype("i4"), _slid(h, WINDOW, 1)[start], (_slid(h, WINDOW, 2)[start] >> np.uint64(32)).astype("u4")))
+                ids.append(d)
+                marks.append(m)
+                n += len(start)
+            if n >= TOGETHER:
+                yield from flush(ids, marks, held)
+                ids, marks, held, n = [], [], [], 0
         if held:
             yield from flush(ids, marks, held)
 
     def settle(batches):
-        parts: dict[int, list] = {}
-        for batch in batches:
-            for bucket, doc, mark, start, docs_, marks, places, a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if docs_ is None:
-                    yield pa.RecordBatch.from_arrays([pa.array([v], RECORD[n][1]) for n, v in zip(FOUND, (doc, mark, start), strict=True)], FOUND)
-                else:
-                    at = np.frombuffer(places, "<i4")
-                    parts.setdefault(bucket, []).append((np.frombuffer(docs_, "<i8")[at], np.frombuffer(marks, "<i8")[at], np.frombuffer(start, "<i4"), np.frombuffer(a, "<u8"), np.frombuffer(b, "<u4")))
-        while parts:
-            doc, mark, start, a, b = (np.concatenate(x) for x in zip(*parts.popitem()[1], strict=True))
+        windows: dict[int, list] = {}
+        known: dict[int, list] = {}
+        for record in _records(batches):
+            (known if record[-1] is None else windows).setdefault(record[0], []).append(_unpacked(record))
+        parts = [tuple(np.concatenate(x) for x in zip(*p, strict=True)) for p in known.values()]
+        known.clear()
+        while windows:
+            doc, mark, start, a, b = (np.concatenate(x) for x in zip(*windows.popitem()[1], strict=True))
             order = np.lexsort((start, doc, b, a))
             doc, mark, start, a, b = doc[order], mark[order], start[order], a[order], b[order]
             again = _again(doc, start, a, b)
-            for batch in _by_document(doc[again], mark[again], start[again], buckets):
-                yield batch.select(FOUND)
-
-    dealt = docs.select("doc", "mark", "text").mapInArrow(deal, _ddl(RECORD))
-    return dealt.repartition(partitions(spark), "bucket").mapInArrow(settle, _ddl(FOUND))
+            parts.append((doc[again], mark[again], start[again]))
+        if parts:
+            yield from _starts(*(np.concatenate(x) for x in zip(*parts, strict=True)), buckets)
+
+    def gather(batches):
+        held: dict[int, list] = {}
+        for record in _records(batches):
+            held.setdefault(record[0], []).append(_unpacked(record))
+        while held:
+            doc, mark, start = (np.concatenate(x) for x in zip(*held.popitem()[1], strict=True))
+            own, ids, marks = _numbered(doc, mark)
+            order = np.lexsort((start, own))
+            cuts = np.cumsum(np.bincount(own, minlength=len(ids)))[:-1]
+            for lo in range(0, len(ids), 4096):
+                hi = min(len(ids), lo + 4096)
+                edge = np.r_[0, cuts, len(own)][lo : hi + 1]
+                starts = [start[order[i:j]].tobytes() for i, j in zip(edge[:-1], edge[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi]), pa.array(marks[lo:hi]), pa.array(starts, pa.binary())], ["doc", "mark", "starts"])
+
+    dealt = docs.select("doc", "mark", "text").mapInArrow(deal, RECORD_DDL).repartition(n_parts, "bucket")
+    settled = dealt.mapInArrow(settle, RECORD_DDL).repartition(n_parts, "bucket")
+    return settled.mapInArrow(gather, "doc long, mark long, starts binary")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -235,7 +268,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     both aren't earlier than each other. Null doc_ids count as one document after all others. No rows give none.
     """
     ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64("text").alias("mark"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = saved(_repeated(ids, 4 * partitions(docs.sparkSession))).groupBy("doc", "mark").agg(F.collect_list("start").alias("starts"))
+    found = saved(_repeated(ids, 4 * partitions(docs.sparkSession)))
 
     def run(batches):
         for batch in batches:
@@ -244,7 +277,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
                 words = (text or "").encode().split()
                 gone = np.zeros(len(words) + 1, "i8")
                 if starts:
-                    at = np.unique(np.frombuffer(b"".join(starts), "<i4"))
+                    at = np.unique(np.frombuffer(starts, "<i4"))
                     np.add.at(gone, at, 1)
                     np.add.at(gone, at + WINDOW, -1)
                 keep = np.cumsum(gone)[: len(words)] == 0
