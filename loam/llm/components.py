@@ -11,16 +11,27 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
+#: A node with many links is joined in so many parts.
+PARTS = 16
+
+
+def _with_least(links: DataFrame, least: DataFrame) -> DataFrame:
+    """links (u, v) with the m of their u; each node's links are spread over PARTS keys."""
+    salted = least.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return links.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int")).join(salted, ["u", "part"])
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a")).toDF("u", "v")
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    return down.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.a", "x.b").where("a <> b")
+    pairs = F.array(*[F.struct(F.col(c).alias("a"), F.col("m").alias("b")) for c in ("v", "u")])
+    return _with_least(down, least).select(F.explode(pairs).alias("x")).select("x.a", "x.b").where("a <> b")
 
 
 def components(links: DataFrame) -> DataFrame:
