@@ -14,13 +14,12 @@ nothing and no group is ever paired with itself.
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import partitions, saved
 from .components import components
 
 RADIUS, SHINGLE, SEED = 4, 4, 42
@@ -80,15 +79,29 @@ def _halves(fps: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame) -> DataFrame:
     """(a, b): links between different fingerprints, enough to connect all that are linked. fps: distinct, in `fp`."""
-    halves = _halves(fps)
-    shared = saved(halves.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= RADIUS
-    two = shared.where("n = 2").where(near).select("a", "b")
-    members = saved(halves.join(shared.where("n > 2").select("variant", "n"), "variant"))
-    few = members.where(F.col("n") <= CROWD).groupBy("variant").agg(F.collect_list("fp").alias("fps"))
-    pairs = F.flatten(F.transform("fps", lambda x: F.transform(F.filter("fps", lambda y: (y > x) & (F.bit_count(x.bitwiseXOR(y)) <= RADIUS)), lambda y: F.struct(x.alias("a"), y.alias("b")))))
-    few = few.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-    crowded = members.where(F.col("n") > CROWD).select("fp").distinct()
+    crowd, radius = CROWD, RADIUS
+
+    def settle(batches):
+        """Verified pairs (a, b), and (a, null) for each fingerprint in a crowded variant."""
+        parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        fp, variant = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, "i8"),) * 2
+        order = np.lexsort((fp, variant))
+        fp, variant = fp[order], variant[order]
+        first = np.flatnonzero(np.r_[True, variant[1:] != variant[:-1]]) if len(fp) else np.zeros(0, int)
+        size = np.diff(np.r_[first, len(fp)])
+        size = np.repeat(size, size)
+        for step in range(1, crowd):
+            near = (variant[step:] == variant[:-step]) & (size[step:] <= crowd)
+            near &= np.bitwise_count((fp[step:] ^ fp[:-step]).view("u8")) <= radius
+            if near.any():
+                yield pa.RecordBatch.from_arrays([pa.array(fp[:-step][near]), pa.array(fp[step:][near])], ["a", "b"])
+        lot = np.unique(fp[size > crowd])
+        if len(lot):
+            yield pa.RecordBatch.from_arrays([pa.array(lot), pa.nulls(len(lot), pa.int64())], ["a", "b"])
+
+    met = _halves(fps).repartition(partitions(fps.sparkSession), "variant").mapInArrow(settle, "a long, b long")
+    met = saved(met.distinct())
+    crowded = met.where("b is null").select(F.col("a").alias("fp"))
     whole = ball(64, RADIUS // 2)
 
     def emit(batches):
@@ -101,7 +114,7 @@ def links(fps: DataFrame) -> DataFrame:
 
     balls = crowded.mapInArrow(emit, "fp long, variant long").groupBy("variant").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
     stars = balls.select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a <> b")
-    return saved(two.union(few).union(stars).distinct())
+    return met.where("b is not null").union(stars).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
