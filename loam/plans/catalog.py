@@ -1,8 +1,4 @@
 """Every query of the library by name, and the SQL that gives the same rows."""
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from . import caption_queries, gate_queries, grid_queries, report_queries, stream_queries  # noqa: F401
+from .registry import ORACLES, QUERIES  # noqa: F401
