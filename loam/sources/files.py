@@ -36,10 +36,10 @@ def buckets(spark: SparkSession, folder: str, names: tuple[str, ...] = ("detail"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV table of text columns; a missing one has no rows."""
+    """A CSV table of text columns, empty cells being ''; a missing one has no rows."""
     if not exists(spark, path):
         return spark.createDataFrame([], "path string")
-    return spark.read.csv(path, header=True, multiLine=True, escape='"', nullValue="\u0000", emptyValue="")
+    return spark.read.csv(path, header=True, multiLine=True, escape='"').na.fill("")
 
 
 def of_size(listing: DataFrame, size: int) -> DataFrame:
