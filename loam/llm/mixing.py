@@ -61,8 +61,8 @@ def plan(sized: DataFrame) -> tuple[DataFrame, dict]:
     items = rows.where(F.col("size") > 0).withColumn("pass", F.explode(F.sequence(F.lit(0), passes - 1)))
     start = F.col("pass") * F.col("source_size") + F.col("before")
     items = items.withColumns({"finish": (start + F.col("size")) / F.col("target"), "fits": F.greatest(F.lit(0), F.least(F.col("size"), F.floor(F.col("target")) - start)).cast("long")})
-    # A finish time is at most 1 but for documents that cross the target and passes that start beyond it.
-    items = items.withColumn("span", F.least(F.floor(F.col("finish") * n), F.lit(2 * n)).cast("int"))
+    # What starts beyond its source's target can't be in the mix. Of the rest only a source's last one ends after 1.
+    items = items.where("fits > 0").withColumn("span", F.least(F.floor(F.col("finish") * n), F.lit(n)).cast("int"))
     items = with_offsets(items, [], "span", {"fits": F.col("fits")})
     earlier = Window.partitionBy("span").orderBy("finish", "source", *unsigned, "pass").rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("fits_before") + F.coalesce(F.sum("fits").over(earlier), F.lit(0))
