@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import partitions, saved
 from .components import components
 
-TABLES, PROBES, LEAST, SEED = 8, 4, 0.93, 4
+TABLES, PROBES, LEAST, SEED = 5, 4, 0.93, 4
 #: Classes of a bucket that are compared as one block.
 BLOCK = 1024
 
