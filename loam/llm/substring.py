@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from .common import partitions, saved
 
 WINDOW, GRAM = 20, 5
-#: The sketch: hash rows, and cells a row, by the number of anchors and within bounds. A cell is a byte that stops at 2.
-ROWS, CELLS_PER_ANCHOR, LEAST_CELLS, MOST_CELLS = 3, 4, 1 << 20, 1 << 25
+#: The sketch: hash rows, and cells a row, by the number of anchors and within bounds (a bit a cell, once
+#: summed: 100 MB at most, broadcast).
+ROWS, CELLS_PER_ANCHOR, LEAST_CELLS, MOST_CELLS = 3, 4, 1 << 20, 1 << 28
 #: Windows that a task looks at together.
 TOGETHER = 4_000_000
 _rng = np.random.default_rng(20)
