@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import saved
 
-FEATURES, RIDGE, SEED, ACCEPT = 256, 1e-3, 5, 0.7
+FEATURES, RIDGE, SEED, ACCEPT = 256, 1e-4, 5, 0.7
 #: Labelled rows that the fit takes at most, about; a hash of the id chooses them. The partitions that sum them.
 SAMPLE, SUMS = 200_000, 16
 STATISTICS = 18
@@ -173,16 +173,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return model
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with `score` and `predicted` added; statistics are of the whole text."""
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
+def scores(docs: DataFrame, model: Model, score_name: str = "score", predicted_name: str = "predicted") -> DataFrame:
+    """docs with a score and a prediction added under new names; statistics are of the whole text."""
+    names = docs.columns
     text = names.index("text")
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + ", score double, predicted int"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + f", {score_name} double, {predicted_name} int"
 
     def run(batches):
         for batch in batches:
             score = model.score(np.array([statistics(t) for t in batch.column(text).to_pylist()], float).reshape(-1, STATISTICS))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= ACCEPT).astype("i4"))], [*names, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array((score >= ACCEPT).astype("i4"))], [*names, score_name, predicted_name])
 
     return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, schema)
 

@@ -48,14 +48,17 @@ def _fingerprint(text: str | None, n: int) -> int:
 
 
 def fingerprints(docs: DataFrame, n: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp as a signed 64-bit number. ASCII letters count as lower case; words are split at ASCII white space."""
+    """(doc_id, mark, fp): fp as a signed 64-bit number, mark a hash of the text itself.
+
+    ASCII letters count as lower case; words are split at ASCII white space."""
 
     def run(batches):
         for batch in batches:
-            fps = np.array([_fingerprint(t, n) for t in batch.column(1).to_pylist()], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([_fingerprint(t, n) for t in batch.column(2).to_pylist()], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["doc_id", "mark", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return ids.mapInArrow(run, "doc_id long, mark long, fp long")
 
 
 def ball(width: int, radius: int) -> list[int]:
@@ -117,6 +120,17 @@ def links(fps: DataFrame) -> DataFrame:
     return met.where("b is not null").union(stars).distinct()
 
 
+def _labelled(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, fp) of each document, and (fp, component, first): first is the least (no id?, doc_id, mark) reachable."""
+    prints = saved(fingerprints(docs))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    fps = saved(prints.groupBy("fp").agg(F.min(place).alias("least")))
+    joined = components(links(fps.select("fp")))
+    label = fps.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    first = label.groupBy("component").agg(F.min("least").alias("first"))
+    return prints, label.join(first, "component").select("fp", "component", "first")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row a document (doc_id, text): fingerprint and component_id, the least doc_id reachable.
 
@@ -124,10 +138,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of the links, so that copies are never paired. Rows without a doc_id keep their null and take part in links; a
     component of such rows alone has a null id. No rows give none.
     """
-    prints = saved(fingerprints(docs))
-    fps = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    joined = components(links(fps.select("fp")))
-    label = fps.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = label.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = label.join(least, "component").select("fp", "component_id")
+    prints, label = _labelled(docs)
+    label = label.select("fp", F.col("first.doc_id").alias("component_id"))
     return prints.join(label, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """docs with one document of each component: the one of least doc_id, of equal ids the one whose text's hash is least,
+    of equal rows any. Rows without a doc_id come last."""
+    _, label = _labelled(docs.select("doc_id", "text"))
+    first = saved(label.select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark")).distinct())
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    kept = docs.join(first, same, "left_semi")
+    again = docs.groupBy(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark")).count().where("count > 1").select("_id", "_mark")
+    again = saved(again)
+    if again.limit(1).count():
+        # Rows that are equal in id and text: one of each.
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept

@@ -346,3 +346,13 @@ def test_secrets(spark, docs, none):
     hidden = secrets.redacted(spark.createDataFrame([(0, texts[0], 5)], "doc_id long, text string, n_chars int")).first()
     assert hidden["text"] == 'so token = "<SECRET>" here' and hidden["n_chars"] == len(hidden["text"])
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(none).count() == 0
+
+
+def test_one_document_of_each_component(spark, docs, rows):
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    fp = {r[0]: brute_simhash(r[1]) for r in rows}
+    label = reach(fp, [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4])
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({label[d] for d in fp})
+    odd = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (3, "a b c d e"), (3, "q r s t u v w"), (3, "q r s t u v w"), (None, "z z z y y y")], "doc_id long, text string")
+    assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(odd).collect()))) == ["3", "3", "None"]
