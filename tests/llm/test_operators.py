@@ -8,33 +8,13 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
-import xxhash
 from tokenizers import Tokenizer
 
+from tests_llm_helpers import brute_simhash, reach, words_of
+
 from loam.llm import embed, fingerprint, mixing, packing, pii, quality, secrets, sharding, simhash, substring
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
-SPACE = " \t\n\x0b\x0c\r"
-
-
-def words_of(text):
-    return [w for w in re.split(f"[{SPACE}]+", text or "") if w]
-
-
-def reach(nodes, edges):
-    """The least node that each reaches."""
-    root = {n: n for n in nodes}
-
-    def find(n):
-        while root[n] != n:
-            root[n] = root[root[n]]
-            n = root[n]
-        return n
-
-    for a, b in edges:
-        a, b = find(a), find(b)
-        root[max(a, b)] = min(a, b)
-    return {n: find(n) for n in nodes}
 
 
 def test_fingerprints(spark, docs, rows, none):
@@ -114,14 +94,6 @@ def test_targets():
     assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
 
 
-def brute_simhash(text):
-    w = [x.encode() for x in words_of("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))]
-    if not w:
-        return 0
-    h = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-
-
 @pytest.mark.parametrize("crowd", [simhash.CROWD, 2])
 def test_simhash(docs, rows, none, crowd, monkeypatch):
     monkeypatch.setattr(simhash, "CROWD", crowd)
