@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,10 +18,11 @@ def shares(df: DataFrame, bucket: str, target: Mapping[str, float], tolerance: f
     """Each target bucket's count, share and whether it is within the tolerance; buckets without rows have 0."""
     spark = df.sparkSession
     wanted = spark.createDataFrame([(i, k, float(v)) for i, (k, v) in enumerate(target.items())], "ord int, bucket string, target double")
-    found = df.groupBy(F.col(bucket).alias("bucket")).agg(F.count("*").alias("n"))
-    total = found.agg(F.greatest(F.coalesce(F.sum("n"), F.lit(0)), F.lit(1)).alias("total"))
-    # One row.
-    out = wanted.join(found, "bucket", "left").crossJoin(F.broadcast(total)).withColumn("n", F.coalesce("n", F.lit(0)))
+    every = Window.partitionBy(F.lit(0))
+    # One row a bucket.
+    found = df.groupBy(F.col(bucket).alias("bucket")).agg(F.count("*").alias("n")).withColumn("total", F.sum("n").over(every))
+    out = wanted.join(found, "bucket", "full").withColumns({"n": F.coalesce("n", F.lit(0)), "total": F.greatest(F.coalesce(F.max("total").over(every), F.lit(1)), F.lit(1))})
+    out = out.where("ord is not null")
     share = F.col("n") / F.col("total")
     return out.select("ord", "bucket", "n", "target", share.alias("share"), (F.abs(share - F.col("target")) <= tolerance).alias("ok"))
 
