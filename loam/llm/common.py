@@ -1,13 +1,10 @@
 """Helpers that several operators share: tables, the shared folder, bindings, ranges and offsets."""
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loam.session import materialised as saved  # noqa: F401
+
 #: A word is a run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,24 +13,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for checkpoints; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        own = tempfile.mkdtemp(prefix="loam-")
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(own)
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """df as a table written in the shared folder: later stages read it again whatever executor is lost."""
-    path = f"{shared_folder(df.sparkSession)}/loam-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -43,14 +22,18 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def range_of(key: Column, bounds: list, low: int = 0) -> Column:
-    """How many of the ascending bounds are <= key, as a balanced tree of comparisons."""
+def literal_array(values: list, kind: str) -> Column:
+    """Numbers as one constant, however many they are."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def range_of(key: Column, bounds: list, kind: str = "long") -> Column:
+    """How many of the ascending bounds are <= key, by a binary search in a constant array; 0 for a null key."""
     if not bounds:
-        return F.lit(low)
-    mid = len(bounds) // 2
-    return F.when(key < F.lit(bounds[mid]), range_of(key, bounds[:mid], low)).otherwise(
-        range_of(key, bounds[mid + 1 :], low + mid + 1)
-    )
+        return F.lit(0)
+    array = literal_array(bounds, kind)
+    steps = [1 << k for k in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda low, s: F.when(F.get(array, low + s - 1) <= key, low + s).otherwise(low))
 
 
 def with_offsets(df: DataFrame, group: list[str], bucket: str, values: dict[str, Column]) -> DataFrame:

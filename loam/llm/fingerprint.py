@@ -11,7 +11,7 @@ Grams are of tokens and not of characters as the latter cost five times the work
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, partitions, range_of
+from .common import let, literal_array, partitions, range_of
 
 K, W, LONGEST = 4, 8, 16
 TOKEN = rf"[^\x20\x09-\x0D]{{1,{LONGEST}}}"
@@ -78,24 +78,23 @@ def in_descending_ranges(docs: DataFrame, key: str, n: int) -> DataFrame:
     Ranges hold about as many rows each. Only boundaries, one value a range, reach the driver. After the least row
     comes the greatest. A null key sorts after all others.
     """
+    at = F.col(key)
     spots = [i / n for i in range(1, n)] or [0.5]
-    bounds = docs.agg(F.percentile_approx(key, spots, 20 * n)).first()[0] or []
-    bounds = sorted(set(bounds))
-    ranged = docs.withColumn("_range", F.when(F.col(key).isNull(), F.lit(-1)).otherwise(range_of(F.col(key), bounds)))
-    tops = dict(ranged.groupBy("_range").agg(F.max(key)).collect())
+    bounds = sorted(set(docs.agg(F.percentile_approx(at, spots, 20 * n)).first()[0] or []))
+    # Ranges are numbered from 1; 0 holds rows without a key.
+    ranged = docs.withColumn("_range", F.when(at.isNull(), F.lit(0)).otherwise(range_of(at, bounds) + 1))
+    tops = dict(ranged.groupBy("_range").agg(F.max(at)).collect())
     order = sorted(tops)
-    target = {tops[r]: order[(i + 1) % len(order)] for i, r in enumerate(order) if tops[r] is not None}
-    extra = [F.when((F.col(key) == F.lit(v)) if v is not None else F.col(key).isNull(), F.lit(t)) for v, t in target.items()]
-    if -1 in tops:
-        extra.append(F.when(F.col(key).isNull(), F.lit(order[1 % len(order)])))
-    is_top = F.col(key).isin([v for v in target])
-    if -1 in tops:
-        is_top = F.coalesce(is_top, F.lit(True))
-    both = F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("g")), F.struct(F.coalesce(*extra, F.lit(None).cast("int")).alias("r"), F.lit(True).alias("g"))) if extra else None
-    one = F.array(F.struct(F.col("_range").alias("r"), F.lit(False).alias("g")))
-    at = F.when(is_top, both).otherwise(one) if both is not None else one
+    after = {r: order[(i + 1) % len(order)] for i, r in enumerate(order)}
+    here = F.struct(F.col("_range").alias("r"), F.lit(False).alias("g"))
+    keyed = {tops[r]: t for r, t in after.items() if r}
+    target = F.when(at.isNull(), F.lit(after.get(0)).cast("int"))
+    if keyed:
+        target = target.when(at.isin(list(keyed)), F.element_at(F.map_from_arrays(literal_array(list(keyed), "long"), literal_array(list(keyed.values()), "int")), at))
+    there = F.struct(target.alias("r"), F.lit(True).alias("g"))
+    both = F.filter(F.array(here, there), lambda x: x["r"].isNotNull())
     return (
-        ranged.withColumn("_at", F.explode(at))
+        ranged.withColumn("_at", F.explode(both))
         .withColumns({"_range": F.col("_at")["r"], "_ghost": F.col("_at")["g"]})
         .drop("_at")
         .repartition(n, "_range")
@@ -111,7 +110,7 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
     """
     n = partitions(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = in_descending_ranges(docs.select("doc_id", text.alias("text")), "doc_id", n)
+    rows = in_descending_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")), "doc_id", n)
     rows = rows.withColumn("items", selected(F.col("text")))
     following = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     rows = rows.withColumns({"after": F.lead("text").over(following), "after_items": F.lead("items").over(following)}).where(~F.col("_ghost"))

@@ -85,7 +85,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) ->
 
     cuts = _room(shards, loads, total - int(loads.sum()))
     whole = F.col("bytes") <= group_limit * target
-    kept = groups.where(whole).withColumn("shard", range_of(F.col("start") + F.col("bytes") / 2, cuts))
+    kept = groups.where(whole).withColumn("shard", range_of(F.col("start") + F.col("bytes") / 2, cuts, "double"))
     # At most shards / group_limit groups are larger.
     split = groups.where(~whole).select(*group, "n", "start")
     apart = small.join(F.broadcast(split), group)
@@ -93,7 +93,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) ->
     apart = with_offsets(apart, group, "part", {"rank": F.lit(1)})
     number = F.row_number().over(Window.partitionBy(*group, "part").orderBy("doc_id", "row")) - 1 + F.col("rank_before")
     middle = F.col("start") + number * F.col("size") + F.col("size") / 2
-    apart = apart.select("row", "doc_id", "size", "crc", range_of(middle, cuts).alias("shard"))
+    apart = apart.select("row", "doc_id", "size", "crc", range_of(middle, cuts, "double").alias("shard"))
     together = small.join(F.broadcast(split), group, "left_anti").join(kept.select(*group, "shard"), group).select("row", "doc_id", "size", "crc", "shard")
 
     out = first.unionByName(apart).unionByName(together).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
