@@ -12,7 +12,7 @@ import tokenizers
 from tokenizers import Tokenizer
 
 #: Words kept at once by a worker, and the bytes of the longest that is kept.
-MOST_WORDS, LONGEST = 1_000_000, 64
+MOST_WORDS, LONGEST = 250_000, 64
 PLAIN = re.compile("[!-~¡-¬®-ÿ]+")
 # The pre-tokenizer's pattern, for the characters of PLAIN in lower case.
 LETTER, NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
