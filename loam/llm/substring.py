@@ -30,7 +30,7 @@ MIX = _rng.integers(1, 1 << 62, (3, WINDOW), dtype="u8") * np.uint64(2) + np.uin
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= 1_000_000:
+        if len(self) >= 250_000:
             self.clear()
         self[word] = h
         return h
