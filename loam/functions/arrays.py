@@ -11,11 +11,22 @@ def _mirror(i: int, n: int) -> int:
     return -i if i < 0 else 2 * (n - 1) - i if i >= n else i
 
 
+def bound(value: Column, body) -> Column:
+    """body(value), with value computed once a row: what a lambda refers to is computed anew for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+
 def variance(values: Column) -> Column:
     """Of a population; null for an empty array."""
-    n = F.size(values)
-    mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
-    return F.when(n > 0, F.aggregate(F.transform(values, lambda x: (x - mean) * (x - mean)), F.lit(0.0), lambda a, x: a + x) / n)
+
+    def about(v: Column, mean: Column) -> Column:
+        return _sum(F.transform(v, lambda x: (x - mean) * (x - mean))) / F.size(v)
+
+    return bound(values, lambda v: F.when(F.size(v) > 0, bound(_sum(v) / F.size(v), lambda m: about(v, m))))
 
 
 def laplacian(grid: Column, width: int, cells: list[list[int]]) -> Column:
@@ -56,11 +67,14 @@ def passes_share(tiles: Column, least: float, share: float) -> Column:
 
 def percentile_of(values: Column, q: float) -> Column:
     """With linear interpolation between neighbours in order."""
-    s, n = F.array_sort(values), F.size(values)
-    at = (n - 1) * F.lit(q)
-    low = F.floor(at).cast("int")
-    a, b = F.get(s, low), F.get(s, F.least(low + 1, n - 1))
-    return a + (b - a) * (at - low)
+
+    def between(s: Column) -> Column:
+        at = (F.size(s) - 1) * F.lit(q)
+        low = F.floor(at).cast("int")
+        a, b = F.get(s, low), F.get(s, F.least(low + 1, F.size(s) - 1))
+        return a + (b - a) * (at - low)
+
+    return bound(F.array_sort(values), between)
 
 
 #: Further rules that a tile gate can use: columns from tiles and a threshold.
@@ -72,11 +86,15 @@ TILE_RULES = {
 
 
 def median_hash(values: Column, bits: int = 64) -> Column:
-    """Bit k is set if value k is above the median."""
+    """Bit k is set if value k is above the median; an array of up to `bits` values, 64 at most."""
+    powers = F.array(*[F.lit((1 << k) - (1 << 64) if k == 63 else 1 << k).cast("long") for k in range(bits)])
+
+    def fold(v: Column, middle: Column) -> Column:
+        set_bits = F.zip_with(v, powers, lambda x, p: F.when(x > middle, p).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(set_bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
     doubles = F.transform(values, lambda x: x.cast("double"))
-    middle = percentile_of(doubles, 0.5)
-    set_bits = F.transform(values, lambda x, k: F.when(x.cast("double") > middle, F.call_function("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long")))
-    return F.aggregate(set_bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+    return bound(doubles, lambda v: bound(percentile_of(v, 0.5), lambda m: fold(v, m)))
 
 
 def hex64(h: Column) -> Column:
