@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from .common import WORD, partitions, saved, with_offsets
 
 WEIGHTS, MOST_PASSES, SEED = (1, 2, 3), 3, 42
+#: Rows of a table of sources up to which it is broadcast; with more sources it is joined by them.
+MOST_BROADCAST = 10_000
 
 
 def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, most: int = MOST_PASSES) -> dict[str | None, float]:
@@ -30,6 +32,12 @@ def targets(sizes: dict[str | None, int], weights: tuple[int, ...] = WEIGHTS, mo
     return out
 
 
+def _by_source(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A few figures a source, which the driver holds anyway; so no document moves to meet them."""
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if len(rows) <= MOST_BROADCAST else df
+
+
 def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -47,9 +55,9 @@ def plan(sized: DataFrame) -> tuple[DataFrame, dict]:
     spark = sized.sparkSession
     sizes = {r["source"]: r["size"] for r in sized.groupBy("source").agg(F.sum("size").alias("size")).collect()}
     wanted = targets(sizes)
-    sources = spark.createDataFrame([(s, sizes[s], wanted[s]) for s in sizes], "source string, source_size long, target double")
+    sources = _by_source(spark, [(s, sizes[s], wanted[s]) for s in sizes], "_source string, source_size long, target double")
     n = partitions(spark)
-    rows = sized.join(sources.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    rows = sized.join(sources, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
     rows = rows.withColumn("order", shuffled(F.col("doc_id"))).withColumn("part", F.pmod(F.shiftrightunsigned("order", 40), F.lit(1 << 24)))
     rows = rows.withColumn("part", F.floor(F.col("part") * n / (1 << 24)).cast("int"))
     rows = with_offsets(rows, ["source"], "part", {"words": F.col("size")})
@@ -84,7 +92,7 @@ def mix_figures(docs: DataFrame) -> DataFrame:
     """
     sized = sized_table(docs)
     items, figures = plan(sized)
-    sources = docs.sparkSession.createDataFrame([(s, a, b) for s, (a, b) in figures.items()], "_source string, source_size long, target double")
+    sources = _by_source(docs.sparkSession, [(s, a, b) for s, (a, b) in figures.items()], "_source string, source_size long, target double")
     taken = items.groupBy("row").agg(F.sum("taken").alias("taken"), F.min("at").alias("first_at"))
     rows = sized.join(sources, F.col("source").eqNullSafe(F.col("_source")), "left").join(taken, "row", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_at")
@@ -111,7 +119,7 @@ def mixed(docs: DataFrame) -> DataFrame:
             if (s, p) in upto:
                 u = upto[s, p]
                 rows.append((s, p, u["negative"], u["order"], u["doc_id"]))
-    passes = docs.sparkSession.createDataFrame(rows, "_source string, _pass int, _negative boolean, _order long, _id long")
+    passes = _by_source(docs.sparkSession, rows, "_source string, _pass int, _negative boolean, _order long, _id long")
     own = F.struct((shuffled(F.col("doc_id").cast("long")) < 0).alias("negative"), shuffled(F.col("doc_id").cast("long")).alias("order"), F.col("doc_id").cast("long").alias("doc_id"))
     to = F.struct(F.col("_negative").alias("negative"), F.col("_order").alias("order"), F.col("_id").alias("doc_id"))
     wide = docs.where(size_of(F.col("text")) > 0)
