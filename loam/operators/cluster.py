@@ -6,15 +6,34 @@ each other item belongs to its first adjacent leader. Rounds settle, at once, ev
 settled; few are needed on average.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.functions.arrays import hamming
 from loam.session import materialised
 
 BITS = 64
-#: Below this width a band hardly prunes: all pairs are compared instead, if there are at most MOST_ALL items.
-LEAST_BAND, MOST_ALL = 6, 20_000
+#: Below this width a band hardly prunes: all pairs are compared instead. Of more than MOST_ALL items, in pairs of blocks.
+LEAST_BAND, MOST_ALL, BLOCK = 6, 20_000, 4096
+
+
+def _pairs_of_blocks(hashes: DataFrame, near: Column, group: str | None) -> DataFrame:
+    """(group?, x, y): the pairs x < y of distinct hashes that are near, within a group. Each pair of blocks is one key of a join."""
+    extra = [group] if group else []
+    sizes = hashes.groupBy(*extra).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).select(*[F.col(g).alias("_s") for g in extra], "n")
+    dealt = hashes.join(F.broadcast(sizes), hashes[group].eqNullSafe(F.col("_s"))) if group else hashes.crossJoin(F.broadcast(sizes))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("h"), F.col("n")).cast("int"))
+    # A number of partitions that is given isn't reduced, however few bytes the keys have.
+    deal = lambda df: df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *key)
+    key = ["i", "j", *(["_g"] if group else [])]
+    owner = [F.col(g).alias("_g") for g in extra]
+    left = deal(dealt.select(*owner, F.col("h").alias("x"), F.col("block").alias("i"), F.explode(F.sequence("block", F.col("n") - 1)).alias("j")))
+    right = deal(dealt.select(*owner, F.col("h").alias("y"), F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j")))
+    on = (left["i"] == right["i"]) & (left["j"] == right["j"]) & ((left["i"] != left["j"]) | (F.col("x") < F.col("y"))) & near
+    if group:
+        on = on & left["_g"].eqNullSafe(right["_g"])
+    found = left.join(right, on)
+    return found.select(*[left["_g"].alias(g) for g in extra], F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def close_pairs(items: DataFrame, most: int, group: str | None = None) -> DataFrame:
@@ -33,10 +52,9 @@ def close_pairs(items: DataFrame, most: int, group: str | None = None) -> DataFr
         banded = hashes.withColumn("band", F.explode(bands))
         left, right = banded.withColumnRenamed("h", "x"), banded.withColumnRenamed("h", "y")
         pairs = left.join(right, [*extra, "band"]).where(F.col("x") < F.col("y")).where(near).select(*extra, "x", "y").distinct()
+    elif hashes.count() > MOST_ALL:
+        pairs = _pairs_of_blocks(hashes, near, group)
     else:
-        n = hashes.count()
-        if n > MOST_ALL:
-            raise ValueError(f"{n} hashes at a distance of {most}: bands would be too narrow and all pairs too many")
         left, right = hashes.withColumnRenamed("h", "x"), hashes.withColumnRenamed("h", "y")
         # The right side has at most MOST_ALL rows.
         on = F.col("x") < F.col("y")
@@ -45,7 +63,8 @@ def close_pairs(items: DataFrame, most: int, group: str | None = None) -> DataFr
             on = on & F.col("_g").eqNullSafe(F.col(group))
         pairs = left.join(F.broadcast(right), on & near).select(*extra, "x", "y")
     same = hashes.select(*extra, F.col("h").alias("x"), F.col("h").alias("y"))
-    pairs = pairs.unionByName(pairs.select(*extra, F.col("y").alias("x"), F.col("x").alias("y"))).unionByName(same)
+    turned = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
+    pairs = pairs.select(*extra, F.inline(turned)).unionByName(same)
     a = items.select(*[F.col(g).alias("_ga") for g in extra], F.col("ord").alias("a"), F.col("h").alias("_ha"))
     b = items.select(*[F.col(g).alias("_gb") for g in extra], F.col("ord").alias("b"), F.col("h").alias("_hb"))
     on_a, on_b = F.col("x") == F.col("_ha"), F.col("y") == F.col("_hb")

@@ -107,6 +107,20 @@ def test_clusters_are_those_of_the_greedy_walk(spark, most):
     assert {(r["ord"], r["leader"], r["kept"]) for r in got} == greedy(items, most)
 
 
+@pytest.mark.parametrize("group", [None, "g"])
+def test_more_hashes_than_are_compared_at_once(spark, group, monkeypatch):
+    """Pairs of blocks give all close pairs, within a group if given, where bands would be too narrow."""
+    monkeypatch.setattr(cluster, "MOST_ALL", 50)
+    monkeypatch.setattr(cluster, "BLOCK", 16, raising=False)
+    rng = random.Random(6)
+    items = [(i, rng.getrandbits(64) - (1 << 63), rng.choice((None, "a", "b"))) for i in range(150)]
+    items += [(200 + i, h, g) for i, h, g in items[:20]]
+    got = cluster.close_pairs(spark.createDataFrame(items, "ord long, h long, g string"), 24, group).collect()
+    bits = lambda x, y: ((x ^ y) % (1 << 64)).bit_count()
+    true = [(a, b, bits(x, y)) for a, x, g in items for b, y, k in items if a < b and bits(x, y) <= 24 and (not group or g == k)]
+    assert sorted(map(tuple, got)) == sorted(true)
+
+
 def test_chain_is_two_clusters(spark):
     items = [(0, 0, 1), (1, 0b111, 1), (2, 0b111111, 1)]
     got = cluster.greedy_clusters(spark.createDataFrame(items, "ord long, h long, px long"), 3)
