@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}+")
-KEYED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([^\s\"',;]{8,200})")
+KEYED = re.compile(r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s{0,4}[:=]\s{0,4}[\"']?([^\s\"',;]{8,}+)")
+#: A name that is glued to its value in one run.
+NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*+=(?=[^=]{16})")
 KEY = re.compile(r"(?i)passw|pwd|secret|token|api_?-?key|access_?-?key")
 # Words that announce a secret, words that announce something else, common words, placeholders.
 BEFORE = ("token", "secret", "password", "passwd", "pwd", "api", "key", "apikey", "auth", "bearer", "credential", "private")
@@ -37,9 +39,11 @@ def _class(c: str) -> int:
     return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
 
 
-def features(text: str, start: int, end: int) -> list[float]:
-    """Of text[start:end]. Values of over LONGEST characters are judged by as many, with their whole length."""
-    value = text[start : min(end, start + LONGEST)]
+def features(text: str, start: int, end: int, a: int | None = None, b: int | None = None) -> list[float]:
+    """Of text[start:end], or of its part text[a:b] with the surroundings of the whole. Values of over LONGEST characters
+    are judged by as many, with their whole length."""
+    a, b = (start, end) if a is None else (a, b)
+    value = text[a : min(b, a + LONGEST)]
     n = len(value)
     kinds = [_class(c) for c in value]
     turns = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
@@ -57,9 +61,9 @@ def features(text: str, start: int, end: int) -> list[float]:
     words = {w.lower() for w in before}
     lead, trail = text[max(0, start - 1) : start], text[end : end + 1]
     assigned = bool(re.search(r"[:=]\s*[\"']?$", text[max(0, start - 6) : start]))
-    pairs = [(a, b) for a, b in zip(kinds, kinds[1:], strict=False)]
+    pairs = list(zip(kinds, kinds[1:], strict=False))
     return [
-        float(np.log2(end - start)),
+        float(np.log2(b - a)),
         turns / max(1, n - 1),
         float(-(p * np.log2(p)).sum()),
         sum(k == 2 for k in kinds) / n,
@@ -67,7 +71,7 @@ def features(text: str, start: int, end: int) -> list[float]:
         sum(k == 3 for k in kinds) / n,
         covered / n,
         vowels / max(1, letters),
-        sum(a != b and 2 in (a, b) for a, b in pairs) / max(1, n - 1),
+        sum(x != y and 2 in (x, y) for x, y in pairs) / max(1, n - 1),
         float(value.count("/") + value.count(".")),
         float(bool(re.fullmatch(r"[0-9a-fA-F]+", value))),
         float(bool(words & set(BEFORE))),
@@ -95,6 +99,8 @@ def labelled_findings(n: int = FINDINGS, seed: int = 10) -> tuple[np.ndarray, np
         lambda: pick(b64, rng.choice((40, 43))) + "=",
         lambda: "eyJ" + pick(alnum, 33) + "." + pick(alnum, 40) + "." + pick(alnum, 43),
         lambda: word(2, 3).capitalize() + pick(string.digits, 3) + pick("_+-", 1) + pick(alnum, 5),
+        lambda: word(2, 4).capitalize() + pick(string.digits, rng.randint(1, 3)) + pick("&%!$@^*", 1) + pick(alnum + "-&%!", rng.randint(3, 20)),
+        lambda: word(2, 4).capitalize() + pick(string.digits, 1) + word(1, 3) + pick("&%!$@^*", 1) + pick(string.digits, rng.randint(1, 3)) + "-" + word(2, 5),
     ]
     wrong = [
         lambda: word(6, 11),
@@ -180,28 +186,54 @@ def default_forest() -> Forest:
     return Forest(*labelled_findings())
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    """Runs that could be keys, and values that a name announces; a value that touches an earlier candidate is left out."""
-    found = [m.span() for m in CANDIDATE.finditer(text) if any(c.isdigit() for c in m[0]) or m[0].count("=") < len(m[0]) // 2 and not m[0].isalpha()]
-    if KEY.search(text):
-        found += [m.span(1) for m in KEYED.finditer(text)]
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
-        if not out or a >= out[-1][1]:
-            out.append((a, b))
-    return out
+def _is_run(run: str) -> bool:
+    return len(run) >= 16 and (any(c.isdigit() for c in run) or run.count("=") < len(run) // 2 and not run.isalpha())
+
+
+def candidates(text: str) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Runs that could be keys, and values that a name announces, each with the spans that are judged for it.
+
+    A value that touches runs is one candidate with them, judged as a whole and by each; names glued to a value are cut off,
+    and are candidates of their own if they could be keys. Candidates don't overlap.
+    """
+    values = [(m.start(), *m.span(1)) for m in KEYED.finditer(text)] if KEY.search(text) else []
+    out: list[tuple[int, int, list[tuple[int, int]]]] = [(a, b, [(a, b)]) for _, a, b in values]
+    at = 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        while at < len(values) and values[at][2] <= start:
+            at += 1
+        # A run's pieces: before each announced value's name, and within the value. A run can't go on after a value's end.
+        k = at
+        while start < end and k < len(values) and values[k][0] < end:
+            name, a, b = values[k]
+            if start < name:
+                out += _pieces(text, start, name)
+            out[k][2].extend(part for _, _, own in _pieces(text, max(start, a), min(end, b)) for part in own)
+            start, k = max(start, min(end, b)), k + 1
+        out += _pieces(text, start, end)
+    return sorted(out)
+
+
+def _pieces(text: str, start: int, end: int) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """Those of a run without an announced value that could be keys: itself, or a name and what it is glued to."""
+    out = []
+    while m := NAMED.match(text, start, end):
+        if _is_run(text[start : m.end() - 1]):
+            out.append((start, m.end() - 1, [(start, m.end() - 1)]))
+        start = m.end()
+    return out + ([(start, end, [(start, end)])] if _is_run(text[start:end]) else [])
 
 
 def secrets(texts: list[str | None], forest: Forest) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Of each text: the number of candidates, and the spans of those that the forest accepts."""
-    spans = [candidates(t or "") for t in texts]
-    flat = [(i, s) for i, own in enumerate(spans) for s in own]
-    out: list[tuple[int, list]] = [(len(own), []) for own in spans]
+    """Of each text: the number of candidates, and the spans of those of which the forest accepts any part."""
+    own = [candidates(t or "") for t in texts]
+    flat = [(i, a, b, part) for i, found in enumerate(own) for a, b, parts in found for part in dict.fromkeys(parts)]
+    out: list[tuple[int, list]] = [(len(found), []) for found in own]
     if flat:
-        p = forest.predict(np.array([features(texts[i], *s) for i, s in flat]))
-        for (i, s), q in zip(flat, p, strict=True):
-            if q >= ACCEPT:
-                out[i][1].append(s)
+        p = forest.predict(np.array([features(texts[i], a, b, *part) for i, a, b, part in flat]))
+        for i, a, b in dict.fromkeys((i, a, b) for (i, a, b, _), q in zip(flat, p, strict=True) if q >= ACCEPT):
+            out[i][1].append((a, b))
     return out
 
 

@@ -320,6 +320,16 @@ def test_secrets(spark, docs, none):
     assert secrets.scan(docs).count() == docs.count() and secrets.scan(none).count() == 0
 
 
+def test_announced_values_are_masked_whole(spark):
+    key, phrase = "3c4226790fc3f8022bcc4434e93601b2005f1325", "".join(np.random.default_rng(4).choice(list("abcdefghijkXYZ0123456789&%!$@-"), 400))
+    texts = ["so PASSWORD=Tr0ub4dor&3-longtail here", f"the password: {phrase} end", f"my AWS_SECRET_ACCESS_KEY={key} is", f"so token=https://a.b.org/d?sig={key}&e=1 it"]
+    hidden = secrets.redacted(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["text"] for r in hidden] == ["so PASSWORD=<SECRET> here", "the password: <SECRET> end", "my AWS_SECRET_ACCESS_KEY=<SECRET> is", "so token=<SECRET> it"]
+    glued = f"{key}-password=abcdefgh12 x" * 2
+    spans = [s[:2] for s in secrets.candidates(glued)]
+    assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False)) and (0, 41) in spans
+
+
 def test_one_document_of_each_component(spark, docs, rows):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
