@@ -10,6 +10,7 @@ import functools
 import random
 import re
 import string
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,9 @@ WORDS = frozenset(
     "der die das und ein eine nicht mit von les des une est pour dans que los las del con una por para".split()
 )
 PLACEHOLDER = re.compile(r"(?i)your|example|changeme|placeholder|insert|dummy|sample|x{4,}|\*{3,}|<|\$\{|1234")
-TREES, DEPTH, ACCEPT, FINDINGS, LONGEST = 40, 8, 0.5, 4000, 512
+TREES, DEPTH, ACCEPT, FINDINGS = 40, 8, 0.5, 4000
+#: Longer values are judged in overlapping parts too, of PART characters.
+LONGEST, PART = 128, 64
 
 
 def _class(c: str) -> int:
@@ -40,15 +43,13 @@ def _class(c: str) -> int:
 
 
 def features(text: str, start: int, end: int, a: int | None = None, b: int | None = None) -> list[float]:
-    """Of text[start:end], or of its part text[a:b] with the surroundings of the whole. Values of over LONGEST characters
-    are judged by as many, with their whole length."""
+    """Of text[start:end], or of its part text[a:b] with the surroundings of the whole."""
     a, b = (start, end) if a is None else (a, b)
-    value = text[a : min(b, a + LONGEST)]
+    value = text[a:b]
     n = len(value)
     kinds = [_class(c) for c in value]
     turns = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
-    counts = [value.count(c) for c in set(value)]
-    p = np.array(counts) / n
+    p = np.array(list(Counter(value).values())) / n
     low = value.lower()
     covered, at = 0, 0
     while at < n:
@@ -100,6 +101,7 @@ def labelled_findings(n: int = FINDINGS, seed: int = 10) -> tuple[np.ndarray, np
         lambda: "eyJ" + pick(alnum, 33) + "." + pick(alnum, 40) + "." + pick(alnum, 43),
         lambda: word(2, 3).capitalize() + pick(string.digits, 3) + pick("_+-", 1) + pick(alnum, 5),
         lambda: word(2, 4).capitalize() + pick(string.digits, rng.randint(1, 3)) + pick("&%!$@^*", 1) + pick(alnum + "-&%!", rng.randint(3, 20)),
+        lambda: pick("=-_.", 1) * rng.randint(4, 32) + pick(rng.choice((hexa, alnum)), rng.randint(32, 40)),
         lambda: word(2, 4).capitalize() + pick(string.digits, 1) + word(1, 3) + pick("&%!$@^*", 1) + pick(string.digits, rng.randint(1, 3)) + "-" + word(2, 5),
     ]
     wrong = [
@@ -225,10 +227,20 @@ def _pieces(text: str, start: int, end: int) -> list[tuple[int, int, list[tuple[
     return out + ([(start, end, [(start, end)])] if _is_run(text[start:end]) else [])
 
 
+def _parts(text: str, parts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans to judge: each, and overlapping parts of a long one; of equal parts, as rulers have, the first alone."""
+    out = dict.fromkeys(parts)
+    for a, b in list(out):
+        if b - a > LONGEST:
+            starts = [*range(a, b - PART, PART // 2), b - PART]
+            out |= dict.fromkeys((i, i + PART) for i in {text[i : i + PART]: i for i in reversed(starts)}.values())
+    return list(out)
+
+
 def secrets(texts: list[str | None], forest: Forest) -> list[tuple[int, list[tuple[int, int]]]]:
     """Of each text: the number of candidates, and the spans of those of which the forest accepts any part."""
     own = [candidates(t or "") for t in texts]
-    flat = [(i, a, b, part) for i, found in enumerate(own) for a, b, parts in found for part in dict.fromkeys(parts)]
+    flat = [(i, a, b, part) for i, found in enumerate(own) for a, b, parts in found for part in _parts(texts[i], parts)]
     out: list[tuple[int, list]] = [(len(found), []) for found in own]
     if flat:
         p = forest.predict(np.array([features(texts[i], a, b, *part) for i, a, b, part in flat]))

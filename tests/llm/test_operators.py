@@ -330,6 +330,12 @@ def test_announced_values_are_masked_whole(spark):
     assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:], strict=False)) and (0, 41) in spans
 
 
+def test_long_values_are_judged_to_their_end():
+    key, path = "3c4226790fc3f8022bcc4434e93601b2005f1325", "/usr/share/" + "/".join(["library", "modules", "handler"] * 40)
+    texts = ["token = " + "=" * 600 + key + " x", "so " + "-" * 700 + " x", f"in {path} x", "token = " + "your_api_key_" * 60]
+    assert [len(s) for _, s in secrets.secrets(texts, secrets.default_forest())] == [1, 0, 0, 0]
+
+
 def test_one_document_of_each_component(spark, docs, rows):
     kept = simhash.one_of_each(docs)
     assert kept.columns == docs.columns
