@@ -29,6 +29,7 @@ DIGITS = re.compile("[0-9]")
 # Looser forms.
 AT = re.compile(r"([\[({]\s?at\s?[\])}]|\sat\s)", re.I)
 DOT = re.compile(r"\s?(?:[\[({]\s?dot\s?[\])}]|\sdot\s|\.)\s?", re.I)
+SPELLED = re.compile(r"[\[({]\s?dot\s?[\])}]|\sdot\s", re.I)
 LEFT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?$")
 RIGHT = re.compile(rf"\s?[A-Za-z0-9-]{{1,63}}(?:{DOT.pattern}[A-Za-z0-9-]{{1,63}}){{1,6}}", re.I)
 LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.(-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])")
@@ -85,11 +86,10 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def _loose(text: str) -> list[tuple[int, int, int]]:
     out = []
-    if "dot" in text or "DOT" in text:
-        for m in AT.finditer(text):
-            a, b = LEFT.search(text, max(0, m.start() - 66), m.start()), RIGHT.match(text, m.end(), m.end() + 400)
-            if a and b and (m[0].strip()[0] in "[({" or " dot " in b[0].lower()):
-                out.append((0, a.start(), b.end()))
+    for m in AT.finditer(text):
+        a, b = LEFT.search(text, max(0, m.start() - 66), m.start()), RIGHT.match(text, m.end(), m.end() + 400)
+        if a and b and (m[0].strip()[0] in "[({" or SPELLED.search(b[0])):
+            out.append((0, a.start(), b.end()))
     if DIGITS.search(text):
         out += [(1, m.start(), m.end()) for m in IP.finditer(text)]
         out += [(2, m.start(), m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 13 and 13 <= len(_digits(m[0])) <= 19]
@@ -125,7 +125,7 @@ def scan(text: str | None) -> tuple[list[int], list[int], list[int]]:
     text = text or ""
     base = base_spans(text)
     taken = {k: [s[1:] for s in base if s[0] == k] for k in range(len(KINDS))}
-    more = [c for c in _loose(text) if all(c[2] <= a or c[1] >= b for a, b in taken[c[0]])] if "dot" in text or "DOT" in text or DIGITS.search(text) else []
+    more = [c for c in _loose(text) if all(c[2] <= a or c[1] >= b for a, b in taken[c[0]])]
     return (
         [v for s in base for v in s],
         [v for s in more for v in (*s, encode(s[0], votes(text, *s, False)))],

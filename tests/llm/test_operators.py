@@ -254,6 +254,12 @@ def test_pii(spark, docs, none):
     assert pii.personal_data(none).count() == 0
 
 
+def test_spelled_out_addresses_need_no_other_word():
+    texts = ["mail: jane [at] example.com", "jane (at) example (Dot) com", "jane at example [dot] com", "we met at home. Then"]
+    more = [pii.scan(t)[1] for t in texts]
+    assert [t[m[1] : m[2]] for t, m in zip(texts, more, strict=True) if m] == ["jane [at] example.com", "jane (at) example (Dot) com", "jane at example [dot] com"]
+
+
 def brute_repeats(rows):
     first, texts = {}, sorted(((r[0], r[1]) for r in rows), key=lambda r: r[0])
     for d, t in texts:
