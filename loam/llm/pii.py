@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from .common import saved
 
 KINDS = ("email", "ip", "card", "phone")
-#: A candidate is added from this probability on, and if the words before it speak for it.
+#: A candidate is added from this probability on.
 ACCEPT = 0.9
 NEAR = 48
 # The base patterns, written so that a failed run isn't tried again from its middle.
@@ -221,7 +221,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
     tallied = found.select("more", "codes").mapInArrow(tally, "code int, n long").groupBy("code").sum("n").collect()
     counts = {r[0]: r[1] for r in tallied}
     likely = classifier(counts, reliabilities(counts))
-    added = {c for c, p in likely.items() if p >= ACCEPT and decode(c)[1][3] == 1}
+    added = {c for c, p in likely.items() if p >= ACCEPT}
 
     def join(spans: list[tuple[int, int, int]]) -> str:
         return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted((a, k, b) for k, a, b in spans))

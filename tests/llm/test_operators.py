@@ -260,6 +260,13 @@ def test_spelled_out_addresses_need_no_other_word():
     assert [t[m[1] : m[2]] for t, m in zip(texts, more, strict=True) if m] == ["jane [at] example.com", "jane (at) example (Dot) com", "jane at example [dot] com"]
 
 
+def test_pii_without_words_before(spark):
+    """The classifier decides alone: what it takes for likely is added in any context."""
+    texts = ["write to jane [at] example [dot] com now", "the jane [at] example [dot] com now"] + [f"mail: ab{i}@cd.com now" for i in range(40)] + [f"so ab{i}@cd.com now" for i in range(40)] + [f"so 256.1.{i}.1 now" for i in range(40)]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[0], got[1]] == ["email:9:36", "email:4:31"] and not any(got[i] for i in range(82, 122))
+
+
 def brute_repeats(rows):
     first, texts = {}, sorted(((r[0], r[1]) for r in rows), key=lambda r: r[0])
     for d, t in texts:
