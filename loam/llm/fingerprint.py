@@ -1,11 +1,12 @@
 """Document fingerprints by winnowing, in DataFrame functions only.
 
-A text is a sequence of tokens: words, those of over LONGEST characters in parts. A gram is K consecutive tokens and its
+A text is a sequence of tokens: words, and of runs of over LONGEST characters (scripts without spaces, no-break spaces,
+base64) the PIECE characters from each character on, so that grams roll there by characters. A gram is K consecutive tokens and its
 hash slides over the text; a window is W consecutive grams. Every window selects its gram of least hash, the rightmost of
 equals; what is selected, with its position, is the fingerprint. Two texts that share K + W - 1 tokens in a row
-therefore share a selected gram.
+therefore share a selected gram, as do two long runs that share PIECE + K + W - 2 characters in a row.
 
-Grams are of tokens and not of characters as the latter cost five times the work: 2.5 microseconds a character, measured.
+Other grams are of tokens and not of characters as the latter cost five times the work: 2.5 microseconds a character, measured.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 
 from .common import let, literal_array, partitions, range_of
 
-K, W, LONGEST = 4, 8, 16
-TOKEN = rf"[^\x20\x09-\x0D]{{1,{LONGEST}}}"
+K, W, LONGEST, PIECE = 4, 8, 16, 5
+_ANY = r"[^\x20\x09-\x0D]"
+_WORD = rf"(?<!{_ANY}){_ANY}{{1,{LONGEST}}}+(?!{_ANY})"
+#: Its group 1 is the token; a match takes up the whole word, or one character of a long run.
+TOKEN = rf"(?=({_WORD}|{_ANY}{{1,{PIECE}}}+))(?:{_WORD}|{_ANY})"
 #: A key holds 40 bits of hash above 23 bits of place; from the 2^23rd token on places count anew.
 PLACE = 23
 
@@ -40,7 +44,7 @@ def selected(text: Column) -> Column:
         """Without the last n - 1, but one at least."""
         return F.slice(array, 1, F.greatest(F.size(array) - (n - 1), F.lit(1)))
 
-    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), 0)
+    tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), 1)
     keys = let(tokens, lambda t: first(F.transform(t, gram(t)), K))
     return F.array_distinct(let(keys, lambda k: first(F.transform(k, least(k)), W)))
 
@@ -67,7 +71,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with `fingerprint` (string), and `positions` (the places of the selected grams)."""
+    """docs with `fingerprint` (string), and `positions` (the places of the selected grams, in tokens)."""
     items = docs.withColumn("_items", selected(F.col(text)))
     return items.withColumns({"fingerprint": digest(F.col("_items")), "positions": places(F.col("_items"))}).drop("_items")
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests_llm_helpers import brute_simhash, reach, words_of
@@ -65,6 +66,18 @@ def test_winnowing_is_that_of_every_window(spark):
         assert r["fingerprint"] == "".join(f"{hs[p]:010x}" for p in chosen)
 
 
+def test_runs_without_spaces_share_grams_at_any_offset(spark):
+    rng = np.random.default_rng(12)
+    for alphabet in ("日本語文章検索重複文書比較", "abcdefghijklmnop0123456789+/", "w\u00a0"):
+        run = "".join(rng.choice(list(alphabet), 400))
+        texts = [run, "X" + run, "Yyyyy" + run[100:300] + "Z", "".join(reversed(run)) if "w" not in alphabet else "q" * 300]
+        items = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("items", fingerprint.selected(F.col("text")))
+        got = [r["h"] for r in items.orderBy("doc_id").select(fingerprint.hashes(F.col("items")).alias("h")).collect()]
+        shared = [len(set(got[0]) & set(h)) / len(set(h)) for h in got[1:]]
+        assert shared[0] > 0.9 and shared[1] > 0.8 and shared[2] < 0.2
+    assert fingerprint.fingerprints(spark.createDataFrame([("a bb " + "c" * 16 + " dd e" * 5,)], "text string")).first()["positions"][-1] < 13
+
+
 def test_mixing(docs, rows, none):
     got = mixing.mix_figures(docs).collect()
     sizes = defaultdict(int)
