@@ -50,3 +50,26 @@ def with_offsets(df: DataFrame, group: list[str], bucket: str, values: dict[str,
     for i, c in enumerate(keys):
         on = on & F.col(c).eqNullSafe(F.col(f"_{i}"))
     return df.join(sums, on, "left").drop(*[f"_{i}" for i in range(len(keys))])
+
+
+def unused(columns: list[str], *wanted: str) -> list[str]:
+    """Names for helper columns, one for each wanted, that clash with none of the columns, whatever the case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def join_spread(left: DataFrame, right: DataFrame, keys: list[str], rows: str, most: int = 1000) -> DataFrame:
+    """left joined with right, a written table of one row a key with `rows`, how many rows of left have it, which is dropped.
+
+    A key of over 1 / most of all rows would be one task's: those, `most` at most, are broadcast instead. No key is null.
+    """
+    total = right.agg(F.coalesce(F.sum(rows), F.lit(0))).first()[0]
+    hot = F.broadcast(right.where(F.col(rows) * most > F.lit(total)).drop(rows))
+    rest = right.where(F.col(rows) * most <= F.lit(total)).drop(rows)
+    left = left.drop(rows) if rows in left.columns and rows not in keys else left
+    return left.join(hot, keys).unionByName(left.join(hot.select(*keys), keys, "left_anti").join(rest, keys))

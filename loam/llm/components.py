@@ -5,6 +5,7 @@ it. Rounds go on until nothing changes, about log2 of the longest path squared a
 written to the shared folder, so that lineage stays short.
 """
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,17 @@ def components(links: DataFrame) -> DataFrame:
             break
         seen = now
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).where("a > b")
+
+
+def local_roots(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """root, the least member of each one's component, after links between the members i and j are added."""
+    root = root.copy()
+    while True:
+        a, b = root[i], root[j]
+        apart = a != b
+        if not apart.any():
+            return root
+        i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while ((above := root[root]) != root).any():
+            root = above

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tests_llm_helpers import brute_simhash, reach, words_of
+from tests_llm_helpers import brute_components, brute_simhash, reach, words_of
 
 from loam.llm import embed, fingerprint, mixing, packing, pii, quality, secrets, sharding, simhash, substring
 
@@ -107,9 +107,14 @@ def test_targets():
     assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
 
 
-@pytest.mark.parametrize("crowd", [simhash.CROWD, 2])
-def test_simhash(docs, rows, none, crowd, monkeypatch):
-    monkeypatch.setattr(simhash, "CROWD", crowd)
+@pytest.fixture(params=[None, (40, 2, 16)])
+def bucket_sizes(request, monkeypatch):
+    """Small limits, so that buckets are compared by reaching, cut into chunks and split into pairs of blocks."""
+    for name, value in zip(("CHUNK", "SMALL", "SPLIT"), request.param or (), strict=False):
+        monkeypatch.setattr(simhash, name, value)
+
+
+def test_simhash(docs, rows, none, bucket_sizes):
     got = simhash.near_duplicates(docs).collect()
     fp = {r[0]: brute_simhash(r[1]) for r in rows}
     edges = [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4]
@@ -118,24 +123,61 @@ def test_simhash(docs, rows, none, crowd, monkeypatch):
     assert simhash.near_duplicates(none).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [12, 2])
-def test_links_of_close_numbers(spark, crowd, monkeypatch):
-    """Chains and balls of fingerprints: every pair within the radius is connected."""
-    monkeypatch.setattr(simhash, "CROWD", crowd)
-    rng = np.random.default_rng(7)
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def chains(rng, flips):
+    """Fingerprints of which each differs from the one before in a few bits."""
     fps = set()
     for _ in range(12):
         x = int(rng.integers(0, 1 << 63)) * 2 + int(rng.integers(0, 2))
         for _ in range(25):
             fps.add(x)
-            for b in rng.choice(64, int(rng.integers(1, 6)), replace=False):
+            for b in rng.choice(64, int(rng.integers(1, flips)), replace=False):
                 x ^= 1 << int(b)
-    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    links = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long")).collect()
-    fps = [f % (1 << 64) for f in signed]
-    true = [(a, b) for a in fps for b in fps if a < b and (a ^ b).bit_count() <= 4]
-    assert all(((r["a"] ^ r["b"]) % (1 << 64)).bit_count() <= 4 for r in links)
-    assert reach(fps, true) == reach(fps, [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in links])
+    return sorted(fps)
+
+
+@pytest.mark.parametrize("rule", [simhash.FINGERPRINTS, simhash.Rule(radius=8, parts=3), simhash.NEAR_COPIES])
+def test_links_of_close_numbers(spark, rule, bucket_sizes):
+    """Chains and balls of fingerprints: every pair within the radius is connected, and no other."""
+    rng = np.random.default_rng(7)
+    fps = chains(rng, 12 if rule.radius > 4 else 6)
+    ball = int(rng.integers(0, 1 << 63))
+    fps += sorted({ball} | {ball ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (150, 2))} - set(fps))
+    sketch = [int(rng.integers(0, 1 << 20)) << 44 if rule.sketched else 0 for _ in fps]
+    rows = [(i, signed(f), signed(s)) for i, (f, s) in enumerate(zip(fps, sketch, strict=True))]
+    links = simhash.links(spark.createDataFrame(rows, "node long, fp long, sketch long"), rule).collect()
+
+    def close(a, b):
+        apart = sum((sketch[a] >> 4 * k & 15) != (sketch[b] >> 4 * k & 15) for k in range(16))
+        return (fps[a] ^ fps[b]).bit_count() <= rule.radius and apart <= rule.apart
+
+    true = [(a, b) for a in range(len(fps)) for b in range(a) if close(a, b)]
+    assert reach(range(len(fps)), true) == reach(range(len(fps)), [(r["a"], r["b"]) for r in links])
+
+
+@pytest.mark.parametrize("parts", [2, 3, 4])
+def test_variants(spark, parts):
+    """Each part's value and what differs from it in one bit, apart by the number of the part."""
+    x = 0xF123456789ABCDEF
+    got = spark.createDataFrame([(signed(x),)], "fp long").select(simhash._variants(F.col("fp"), parts).alias("v")).first()["v"]
+    cuts, expected = [round(i * 64 / parts) for i in range(parts + 1)], []
+    for p, (low, high) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        part = (x >> low) % (1 << (high - low)) + (p << (high - low))
+        expected += [part] + [part ^ (1 << i) for i in range(high - low)]
+    assert got == expected and len(set(got)) == 64 + parts
+
+
+def test_a_large_ball_leaves_one_row_a_member(spark):
+    """10,000 near copies in one bucket: links grow with the members, not with their pairs."""
+    rng = np.random.default_rng(2)
+    high = sorted({sum(1 << int(b) for b in rng.choice(32, 4, replace=False)) for _ in range(14_000)})[:10_000]
+    rows = [(i, signed(h << 32 | 12345), 0) for i, h in enumerate(high)]
+    links = simhash.links(spark.createDataFrame(rows, "node long, fp long, sketch long"))
+    got = links.collect()
+    assert len(got) <= 66 * len(rows) and set(reach(range(len(rows)), [(r["a"], r["b"]) for r in got]).values()) == {0}
 
 
 def test_embeddings(spark):
@@ -362,11 +404,17 @@ def test_long_values_are_judged_to_their_end():
     assert [len(s) for _, s in secrets.secrets(texts, secrets.default_forest())] == [1, 0, 0, 0]
 
 
-def test_one_document_of_each_component(spark, docs, rows):
-    kept = simhash.one_of_each(docs)
+@pytest.mark.parametrize("rule", [simhash.FINGERPRINTS, simhash.NEAR_COPIES])
+def test_one_document_of_each_component(spark, docs, rows, rule):
+    kept = simhash.one_of_each(docs, rule)
     assert kept.columns == docs.columns
-    fp = {r[0]: brute_simhash(r[1]) for r in rows}
-    label = reach(fp, [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4])
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({label[d] for d in fp})
+    label = brute_components({r[0]: r[1] for r in rows}, rule)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(label.values()))
     odd = spark.createDataFrame([(None, "a b c d e"), (None, "a b c d e"), (3, "a b c d e"), (3, "q r s t u v w"), (3, "q r s t u v w"), (None, "z z z y y y")], "doc_id long, text string")
-    assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(odd).collect()))) == ["3", "3", "None"]
+    assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(odd, rule).collect()))) == ["3", "3", "None"]
+
+
+def test_unlike_short_texts_stay(spark):
+    """Few shingles set few bits, so that fingerprints of unlike short texts are close: their sketches keep them apart."""
+    texts = [f"w{i} x{i} y{i} z{i} v{i} u{i}" for i in range(3000)]
+    assert simhash.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).count() == len(texts)

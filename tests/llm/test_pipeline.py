@@ -9,8 +9,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from loam.llm import mixing
-from tests_llm_helpers import brute_simhash, reach, words_of
+from loam.llm import mixing, simhash
+from tests_llm_helpers import brute_components, words_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -43,8 +43,7 @@ def test_quality_keeps_good_documents(spark, stages):
 
 def test_dedup(stages):
     _, before, got = stages[1]
-    fp = {r["doc_id"]: brute_simhash(r["text"]) for r in before.collect()}
-    label = reach(fp, [(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 4])
+    label = brute_components({r["doc_id"]: r["text"] for r in before.collect()}, simhash.NEAR_COPIES)
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(label.values()))
 
 

@@ -4,6 +4,8 @@ import re
 
 import xxhash
 
+from loam.llm import simhash
+
 SPACE = " \t\n\x0b\x0c\r"
 
 
@@ -27,9 +29,29 @@ def reach(nodes, edges):
     return {n: find(n) for n in nodes}
 
 
-def brute_simhash(text):
+def shingles_of(text, n=4):
     w = [x.encode() for x in words_of("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))]
-    if not w:
-        return 0
-    h = [xxhash.xxh64_intdigest(b" ".join(w[i : i + 4]), 42) for i in range(max(1, len(w) - 3))]
+    return [xxhash.xxh64_intdigest(b" ".join(w[i : i + n]), 42) for i in range(max(1, len(w) - n + 1))] if w else []
+
+
+def brute_simhash(text, n=4):
+    h = shingles_of(text, n)
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def brute_sketch(text, rule):
+    """The last 4 bits of the least of all shingles, in each of 16 orders."""
+    h, out = shingles_of(text, rule.shingle), []
+    for m in simhash.MIX.tolist():
+        mixed = [(x * m) % (1 << 64) for x in h]
+        mixed = [((x ^ x >> 29) * 0xBF58476D1CE4E5B9) % (1 << 64) for x in mixed]
+        out.append(min(mixed) % 16 if h else 0)
+    return out
+
+
+def brute_components(texts, rule):
+    """The least id that each reaches by pairs of texts that the rule links. texts: by id."""
+    fp = {d: brute_simhash(t, rule.shingle) for d, t in texts.items()}
+    sketch = {d: brute_sketch(t, rule) for d, t in texts.items()} if rule.sketched else {d: [] for d in texts}
+    close = lambda a, b: (fp[a] ^ fp[b]).bit_count() <= rule.radius and sum(x != y for x, y in zip(sketch[a], sketch[b], strict=True)) <= rule.apart
+    return reach(fp, [(a, b) for a in fp for b in fp if a < b and close(a, b)])
