@@ -79,13 +79,19 @@ w AS (SELECT rn, doc_id, n_chars, doc_id AS leader, [{{'v': doc_id, 'h': h}}] AS
 SELECT doc_id, leader, row_number() OVER (PARTITION BY leader ORDER BY n_chars DESC, doc_id) = 1 AS kept FROM w""")
 def near_dup_documents(spark, sf):
     """Clusters of documents by a hash of their distinct words; the longest of a cluster stays."""
-    words = table(spark, sf, "documents").select("doc_id", "n_chars", F.explode(F.array_distinct(F.split("text", " "))).alias("x"))
-    words = words.select("doc_id", "n_chars", F.conv(F.substring(F.md5(F.encode("x", "utf-8")), 1, DIGITS), 16, 10).cast("long").alias("w"))
-    sums = words.groupBy("doc_id", "n_chars").agg(F.count("*").alias("n"), *[F.sum(F.shiftright("w", k).bitwiseAND(F.lit(1))).alias(f"b{k}") for k in range(4 * DIGITS)])
-    h = F.lit(0).cast("long")
-    for k in range(4 * DIGITS):
-        h = h + F.when(2 * F.col(f"b{k}") > F.col("n"), F.lit(1 << k)).otherwise(F.lit(0))
-    items = sums.select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("px"), h.alias("h"))
+    half = 2 * DIGITS
+    low, shift = F.lit((1 << half) - 1).cast("long"), lambda name, x, k: F.call_function(name, x, k)
+    word = lambda x: F.conv(F.substring(F.md5(F.encode(x, "utf-8")), 1, DIGITS), 16, 10).cast("long")
+
+    def fold(words):
+        # Bits k and k + half are counted together, in the two halves of one number.
+        count = lambda k: F.aggregate(words, F.lit(0).cast("long"), lambda n, x: n + shift("shiftright", x, k).bitwiseAND(F.lit(1 | 1 << half)))
+        counts = F.transform(F.sequence(F.lit(0), F.lit(half - 1)), lambda k: F.struct(k.alias("k"), count(k).alias("n")))
+        bit = lambda n, k: F.when(2 * n > F.size(words), shift("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))
+        return F.aggregate(counts, F.lit(0).cast("long"), lambda h, c: h + bit(c["n"].bitwiseAND(low), c["k"]) + bit(F.shiftright(c["n"], half), c["k"] + half))
+
+    h = arrays.bound(F.transform(F.array_distinct(F.split("text", " ")), word), fold)
+    items = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("px"), h.alias("h"))
     return cluster.greedy_clusters(items, 8).select(F.col("ord").alias("doc_id"), "leader", "kept")
 
 
@@ -132,13 +138,13 @@ def bbox_pad_crop(spark, sf):
     return s.withColumn("box", box).select("l_orderkey", "l_linenumber", "box.*")
 
 
-@query("""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'x' WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN '1024.0' ELSE CAST(p_size * 60 AS VARCHAR) END AS w,
-  CAST(p_partkey % 3000 AS VARCHAR) AS h FROM part), n AS (SELECT p_partkey, CASE WHEN regexp_full_match(w, '\\d+') THEN least(w::INT, h::INT) END AS short FROM s)
+@query("""WITH s AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'x' WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 3 = 0 THEN '1024.0' ELSE CAST(p_size * 90 AS VARCHAR) END AS w,
+  CAST(p_partkey * 37 % 4000 AS VARCHAR) AS h FROM part), n AS (SELECT p_partkey, CASE WHEN regexp_full_match(w, '\\d+') THEN least(w::INT, h::INT) END AS short FROM s)
 SELECT p_partkey, CASE WHEN short >= 2048 THEN 'absurdres' WHEN short >= 1024 THEN 'highres' ELSE '' END AS tag FROM n""")
 def resolution_tag(spark, sf):
     k = F.col("p_partkey")
-    w = F.when(k % 5 == 0, "x").when(k % 7 == 0, None).when(k % 3 == 0, "1024.0").otherwise((F.col("p_size") * 60).cast("string"))
-    return table(spark, sf, "part").select("p_partkey", geometry.resolution_tag(w, (k % 3000).cast("string")).alias("tag"))
+    w = F.when(k % 5 == 0, "x").when(k % 7 == 0, None).when(k % 3 == 0, "1024.0").otherwise((F.col("p_size") * 90).cast("string"))
+    return table(spark, sf, "part").select("p_partkey", geometry.resolution_tag(w, (k * 37 % 4000).cast("string")).alias("tag"))
 
 
 @query("""WITH b AS (SELECT l_orderkey, list(least(l_quantity / 50, 1)::DOUBLE ORDER BY l_linenumber) AS q, list(l_discount::DOUBLE ORDER BY l_linenumber) AS d FROM lineitem GROUP BY l_orderkey)
