@@ -32,11 +32,25 @@ class Ratios:
     tolerance: float = 0.10
 
 
+@dataclass(frozen=True)
+class Fetch:
+    """Options of a fetch, whatever the source."""
+
+    keys: tuple[str, ...] = ()
+    most_saved: int = 1000
+    most_reads: int = 1000
+    least_side: int = 1536
+    labels: tuple[str, ...] = ()
+    most_samples: int = 1000
+    out: str = "data/raw"
+
+
 @dataclass(frozen=True)
 class Settings:
     gates: Gates = field(default_factory=Gates)
     captions: Captions = field(default_factory=Captions)
     ratios: Ratios = field(default_factory=Ratios)
+    fetch: Fetch = field(default_factory=Fetch)
 
 
 def load(path: str) -> Settings:

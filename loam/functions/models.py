@@ -3,9 +3,11 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import bound
+
 
 def per_worker(load: Callable[[], object], predict: Callable[[object, pd.Series], pd.Series], returns: str):
     """A column function: load() runs once in each worker process, predict(model, batch) on each batch."""
@@ -40,6 +42,39 @@ def linear_score(vector: Column, weights: list[float], bias: float = 0.0) -> Col
     return F.when(norm > 0, dot / norm + bias)
 
 
+def layered_score(vector: Column, layers: list[tuple[list[list[float]], list[float]]]) -> Column:
+    """A perceptron on |vector| = 1: layers (weights by output, biases), with max(0, x) between them; the last has one output."""
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    out = F.when(norm > 0, bound(norm, lambda n: F.transform(vector, lambda x: x / n)))
+
+    def applied(v: Column, weights: list[list[float]], biases: list[float], last: bool) -> Column:
+        rows = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in w]).alias("w"), F.lit(float(b)).alias("b")) for w, b in zip(weights, biases, strict=True)])
+        dot = lambda v, r: F.aggregate(F.zip_with(v, r["w"], lambda a, b: a * b), r["b"], lambda a, x: a + x)
+        return bound(v, lambda v: F.transform(rows, lambda r: dot(v, r) if last else F.greatest(dot(v, r), F.lit(0.0))))
+
+    for i, (weights, biases) in enumerate(layers):
+        out = applied(out, weights, biases, i == len(layers) - 1)
+    return F.when(norm > 0, F.get(out, F.lit(0)))
+
+
+def text_boxes(images: DataFrame, load: Callable[[], object], detect: Callable[[object, bytes], list[list[tuple[float, float]]]]) -> DataFrame:
+    """(path, boxes) of images (path, content): an engine, loaded once a worker, gives the corners of each box of text; what it
+    fails on has none. geometry.text_area() tells how much of an image they cover."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        engine = load()
+        for batch in batches:
+            boxes = []
+            for data in batch["content"]:
+                try:
+                    boxes.append([[{"x": float(x), "y": float(y)} for x, y in corners] for corners in detect(engine, data) or []])
+                except Exception:
+                    boxes.append([])
+            yield pd.DataFrame({"path": batch["path"], "boxes": boxes})
+
+    return images.select("path", "content").mapInPandas(run, "path string, boxes array<array<struct<x:double,y:double>>>")
+
+
 def score_bucket(score: Column, good: float, medium: float) -> Column:
     """'good' and 'medium' from their least scores on, else 'bad'; a missing score is bad."""
     return F.when(score >= good, "good").when(score >= medium, "medium").otherwise("bad")

@@ -19,26 +19,42 @@ from loam.session import exists, materialised
 SCHEMA = "path string, response string, ok boolean, schema_version int"
 
 
-def with_retries(call: Callable, *args, retries: int = 4, longest: float = 30.0, sleep: Callable[[float], None] = time.sleep):
-    """call(*args); on an error waits 1, 2, 4 ... seconds, up to the longest, and tries again."""
+def is_transient(error: Exception) -> bool:
+    """Whether trying again may help: an error that carries a status must be 429 or from 500 on; any other may."""
+    status = getattr(error, "status", None) or getattr(error, "code", None) or getattr(getattr(error, "response", None), "status_code", None)
+    return not isinstance(status, int) or status == 429 or status >= 500
+
+
+def with_retries(call: Callable, *args, retries: int = 4, first: float = 1.0, longest: float = 30.0, sleep: Callable[[float], None] = time.sleep, again: Callable[[Exception], bool] = lambda e: True):
+    """call(*args); on an error that `again` allows waits `first`, twice, four times ... that many seconds, up to the longest, and
+    tries again, `retries` calls in all."""
     for attempt in range(retries):
         try:
             return call(*args)
-        except Exception:
-            if attempt == retries - 1:
+        except Exception as error:
+            if attempt == retries - 1 or not again(error):
                 raise
-            sleep(min(2.0**attempt, longest))
+            sleep(min(first * 2.0**attempt, longest))
+
+
+def fetched(call: Callable, *args, sleep: Callable[[float], None] = time.sleep):
+    """A call to a paged service: six tries, 5, 10, 20 ... seconds apart, after answers 429 and from 500 on."""
+    return with_retries(call, *args, retries=6, first=5.0, longest=float("inf"), sleep=sleep, again=is_transient)
 
 
-def responses(items: DataFrame, generate: Callable[[str, str], dict], version: int = 1, concurrency: int = 12, retries: int = 4, pause: float = 1.0) -> DataFrame:
-    """(path, response as JSON, ok, schema_version) of items (path, tags); calls of a task overlap in a pool."""
+def responses(items: DataFrame, generate: Callable[[str, str], dict], version: int = 1, concurrency: int = 12, retries: int = 4, pause: float = 1.0, on_result: Callable[[str, dict, bool], None] | None = None) -> DataFrame:
+    """(path, response as JSON, ok, schema_version) of items (path, tags), in their order; calls of a task overlap in a pool.
+    on_result(path, response, ok) is called on the executor as soon as each one is there."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def one(item):
             try:
-                return json.dumps(with_retries(generate, *item, retries=retries, sleep=lambda s: time.sleep(s * pause)) or {}), True
+                response, ok = with_retries(generate, *item, retries=retries, sleep=lambda s: time.sleep(s * pause)) or {}, True
             except Exception:
-                return "{}", False
+                response, ok = {}, False
+            if on_result:
+                on_result(item[0], response, ok)
+            return json.dumps(response), ok
 
         with ThreadPoolExecutor(max(1, concurrency)) as pool:
             for batch in batches:

@@ -1,6 +1,6 @@
 """Pages of search results that have landed as JSON lines: one row an item, filtered before anything is fetched."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loam.operators.ordered import within_budget
@@ -19,6 +19,18 @@ def consumed(found: DataFrame, most_reads: int) -> DataFrame:
     return within_budget(found.withColumn("reads", F.coalesce(F.size("data"), F.lit(0))), "reads", ["handle", "page"], most_reads)
 
 
+def walked(found: DataFrame, least_side: int, most_saved: int) -> DataFrame:
+    """Pages of each handle up to the first that is empty or names no next one, while fewer than most_saved items that fit
+    came before; in the order of handle and page, each handle for itself."""
+    small = lambda m: F.least(F.coalesce(m["width"], F.lit(0)), F.coalesce(m["height"], F.lit(0))) < least_side
+    fits = F.size(F.filter(F.coalesce("media", F.array()), lambda m: (m["type"] == "photo") & ~small(m)))
+    empty = F.coalesce(F.size("data"), F.lit(0)) <= 0
+    over = empty | F.col("next_token").isNull() | (F.col("next_token") == "")
+    before = Window.partitionBy("handle").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    marked = found.withColumns({"_over": F.coalesce(F.max(over).over(before), F.lit(False)), "_saved": F.coalesce(F.sum(fits).over(before), F.lit(0))})
+    return marked.where(~F.col("_over") & (F.col("_saved") < most_saved) & ~empty).drop("_over", "_saved")
+
+
 def media(found: DataFrame, least_side: int, landed: DataFrame | None = None) -> DataFrame:
     """Photos with a key and an address whose short side is large enough and that haven't landed yet; sizes default to 0."""
     m = found.select("handle", F.explode("media").alias("m")).select("handle", "m.*")

@@ -1,28 +1,90 @@
 """Manifests, training pairs and the files that a trainer is set up by."""
 
+import uuid
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.functions.text import stem
 from loam.operators.manifest import union
 
 
+def _swapped(spark: SparkSession, new: str, path: str) -> None:
+    """Puts a finished folder in another's place: what fails before leaves the old one, and readers never meet a half-written one."""
+    at = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
+    fs, old = at(path).getFileSystem(spark._jsc.hadoopConfiguration()), f"{path.rstrip('/')}.old-{uuid.uuid4().hex}"
+    had = fs.exists(at(path)) and fs.rename(at(path), at(old))
+    if not fs.rename(at(new), at(path)):
+        if had:
+            fs.rename(at(old), at(path))
+        raise OSError(f"can't put {new} in the place of {path}")
+    if had:
+        fs.delete(at(old), True)
+
+
 def write_manifest(path: str, *parts: DataFrame, csv: bool = False) -> None:
-    """Replaces the manifest: Parquet with types, or CSV of text for people."""
-    out = union(*parts, export=csv)
-    writer = out.write.mode("overwrite")
-    writer.csv(path, header=True, escape='"', emptyValue="") if csv else writer.parquet(path)
+    """Replaces the manifest, once all of it is written: Parquet with types, or CSV of text for people."""
+    out, new = union(*parts, export=csv), f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    out.write.csv(new, header=True, escape='"', emptyValue="") if csv else out.write.parquet(new)
+    _swapped(out.sparkSession, new, path)
 
 
-def write_pairs(pairs: DataFrame, path: str, inputs: tuple[str, ...]) -> None:
-    """Rows (image_name, caption), replacing what was there; the folder must be none of the inputs."""
+def _guarded(path: str, inputs: tuple[str, ...]) -> None:
     clean = lambda p: p.replace("\\", "/").rstrip("/")
     if clean(path) in {clean(i) for i in inputs}:
         raise ValueError(f"{path} is an input of this run and would be deleted")
+
+
+def write_pairs(pairs: DataFrame, path: str, inputs: tuple[str, ...]) -> None:
+    """Rows (image_name, caption), replacing what was there; the folder must be none of the inputs."""
+    _guarded(path, inputs)
     pairs.write.mode("overwrite").parquet(path)
 
 
+def _as_files(rows: DataFrame, folder: str, inputs: tuple[str, ...]) -> DataFrame:
+    """Writes rows (name, content), a file each, into an emptied folder that all executors reach; one row (name, bytes) a file.
+
+    A task that runs again writes the same files anew.
+    """
+    from loam.session import materialised
+
+    _guarded(folder, inputs)
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(at, True)
+    fs.mkdirs(at)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        for batch in batches:
+            for name, content in zip(batch["name"], batch["content"], strict=True):
+                with system.open_output_stream(f"{base}/{name}") as out:
+                    out.write(content)
+            yield pd.DataFrame({"name": batch["name"], "bytes": batch["content"].map(len)})
+
+    return materialised(rows.select("name", "content").mapInPandas(run, "name string, bytes long"))
+
+
+def write_pair_files(pairs: DataFrame, folder: str, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (image_name, content, caption) as an image and a UTF-8 text file of the same stem each. Returns (name, bytes) of all."""
+    both = F.array(
+        F.struct(F.col("image_name").alias("name"), F.col("content").alias("content")),
+        F.struct(F.concat(stem(F.col("image_name")), F.lit(".txt")).alias("name"), F.encode(F.coalesce("caption", F.lit("")), "utf-8").alias("content")),
+    )
+    return _as_files(pairs.select(F.explode(both).alias("f")).select("f.*"), folder, inputs)
+
+
+def copy_files(items: DataFrame, folder: str, inputs: tuple[str, ...] = ()) -> DataFrame:
+    """Files of items (out_name, content) in one flat folder; names must be unique, as ordered.output_names makes them."""
+    return _as_files(items.select(F.col("out_name").alias("name"), "content"), folder, inputs)
+
+
 def check_pairs(images: DataFrame, captions: DataFrame) -> DataFrame:
     """One row (n_images, n_captions); fails as it is read if there is none of one kind."""
     both = images.select(F.lit(True).alias("image")).unionByName(captions.select(F.lit(False).alias("image")))
