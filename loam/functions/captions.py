@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .arrays import bound
 from .text import clean_text, join_filled
 
 
@@ -43,12 +44,14 @@ class Vocabulary:
 def coerce(raw: Column, vocab: Vocabulary) -> Column:
     """A response (JSON text) as a struct: single values out of the vocabulary are '', lists keep those within it, in order
     and with repeats, up to the most; what can't be read is blank."""
-    got = F.from_json(raw, vocab.schema())
     known = lambda k: [F.lit(v) for v in vocab.values[k]]
-    cols = [F.when(got[k].isin(*known(k)), got[k]).otherwise("").alias(k) for k in vocab.singles]
-    for k in vocab.arrays:
-        cols.append(F.slice(_kept(got[k], known(k)), 1, vocab.most).alias(k))
-    return F.struct(*cols, F.coalesce(got[vocab.flag], F.lit(False)).alias(vocab.flag), clean_text(got[vocab.text]).alias("nl"))
+
+    def parts(got: Column) -> Column:
+        cols = [F.when(got[k].isin(*known(k)), got[k]).otherwise("").alias(k) for k in vocab.singles]
+        cols += [F.slice(_kept(got[k], known(k)), 1, vocab.most).alias(k) for k in vocab.arrays]
+        return F.struct(*cols, F.coalesce(got[vocab.flag], F.lit(False)).alias(vocab.flag), clean_text(got[vocab.text]).alias("nl"))
+
+    return bound(F.from_json(raw, vocab.schema()), parts)
 
 
 def _kept(values: Column, known: list[Column]) -> Column:
@@ -59,18 +62,22 @@ def assemble(parts: Column, order: Sequence[str], vocab: Vocabulary, tags: Colum
     """A caption: slots in their order ('_resolution' and '_rating' stand for those columns), then tags, the word for a
     flagged one, and the text. `rating` is the fallback for an empty one."""
     empty = F.array().cast("array<string>")
-    pieces = []
-    for slot in order:
-        if slot == "_resolution":
-            pieces.append(F.array(resolution))
-        elif slot == "_rating":
-            pieces.append(F.array(rating_of(parts, rating)))
-        elif slot in vocab.arrays:
-            pieces.append(F.coalesce(parts[slot], empty))
-        else:
-            pieces.append(F.array(parts[slot]))
-    pieces += [F.array(tags), F.array(F.when(parts[vocab.flag], F.lit("watermark"))), F.array(parts["nl"])]
-    return join_filled(F.concat(*pieces))
+
+    def caption(parts: Column) -> Column:
+        pieces = []
+        for slot in order:
+            if slot == "_resolution":
+                pieces.append(F.array(resolution))
+            elif slot == "_rating":
+                pieces.append(F.array(rating_of(parts, rating)))
+            elif slot in vocab.arrays:
+                pieces.append(F.coalesce(parts[slot], empty))
+            else:
+                pieces.append(F.array(parts[slot]))
+        pieces += [F.array(tags), F.array(F.when(parts[vocab.flag], F.lit("watermark"))), F.array(parts["nl"])]
+        return join_filled(F.concat(*pieces))
+
+    return bound(parts, caption)
 
 
 def rating_of(parts: Column, fallback: Column) -> Column:

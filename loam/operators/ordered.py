@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loam.functions.text import stem
+from loam.session import materialised
 
 
 def within_budget(pages: DataFrame, size: str, order: list[str], most: int, spent: int = 0, group: list[str] | None = None) -> DataFrame:
@@ -33,3 +34,20 @@ def pair_names(items: DataFrame, path: str, allowed: tuple[str, ...] = ("jpg", "
     ending = F.lower(F.regexp_extract(path, r"\.([^./\\]+)$", 1))
     base = stem(F.col(path))
     return items.withColumns({"image_name": F.concat(base, F.lit("."), F.when(ending.isin(*allowed), ending).otherwise("jpg")), "caption_name": F.concat(base, F.lit(".txt"))})
+
+
+def numbered(df: DataFrame, order: list, name: str) -> DataFrame:
+    """df with its place in the order, from 0 without gaps. Ranges of the order are sorted apart; one count a range is added up."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialised(df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    # An id holds the range above 33 bits of the place in it.
+    span, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    before = F.sum("_n").over(Window.orderBy("_span").rowsBetween(Window.unboundedPreceding, -1))
+    spans = dealt.groupBy(span.alias("_span")).agg(F.count("*").alias("_n")).select("_span", F.coalesce(before, F.lit(0)).alias("_before"))
+    return dealt.withColumn("_span", span).join(F.broadcast(spans), "_span").withColumn(name, F.col("_before") + place).drop("_span", "_before", "_at")
+
+
+def emission(rows: DataFrame, reason: str, order: list, name: str = "emitted") -> DataFrame:
+    """rows with the place at which a manifest lists them: what gates drop, then duplicates, then what stays, each in order."""
+    part = F.when(F.col(reason) == "", 2).when(F.col(reason) == "duplicate", 1).otherwise(0)
+    return numbered(rows.withColumn("_part", part), ["_part", *order], name).drop("_part")

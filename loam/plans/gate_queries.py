@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from loam.functions import text
+from loam.config import Gates
+from loam.functions import arrays, geometry, text
 from loam.operators import gates, manifest, report
+from loam.sources import landing
 
 from .registry import query, table
 
@@ -13,7 +15,9 @@ LEAST_CHARS, LEAST_DISTINCT = 200, 3
 
 
 def gated(spark, sf):
-    docs = table(spark, sf, "documents")
+    """Documents with the reason that drops them. No document is blank, so each 31st one stands for an unreadable item."""
+    blank = F.col("doc_id") % 31
+    docs = table(spark, sf, "documents").withColumn("text", F.when(blank == 0, None).when(blank == 1, F.lit(" \t")).otherwise(F.col("text")))
     words = F.split("text", " ")
     few = F.size(F.array_distinct(words)) * 10 < F.size(words) * LEAST_DISTINCT
     return docs.withColumn("drop_reason", gates.drop_reason(F.col("text").isNull() | F.col("text").rlike(BLANK), F.col("n_chars") < LEAST_CHARS, few))
@@ -22,7 +26,7 @@ def gated(spark, sf):
 GATED = f"""
 SELECT *, CASE WHEN text IS NULL OR regexp_full_match(text, '\\s*') THEN 'corrupt' WHEN n_chars < {LEAST_CHARS} THEN 'too_small'
   WHEN len(list_distinct(string_split(text, ' '))) * 10 < len(string_split(text, ' ')) * {LEAST_DISTINCT} THEN 'blurry' ELSE '' END AS drop_reason
-FROM documents"""
+FROM (SELECT * REPLACE (CASE doc_id % 31 WHEN 0 THEN NULL WHEN 1 THEN ' \t' ELSE text END AS text) FROM documents)"""
 
 
 @query(f"SELECT doc_id, drop_reason FROM ({GATED})")
@@ -52,11 +56,8 @@ def exact_dedup_keep_best(spark, sf):
 SELECT doc_id, drop_reason FROM g WHERE drop_reason <> '' UNION ALL SELECT doc_id, CASE WHEN rn > 1 THEN 'duplicate' ELSE '' END FROM d""")
 def gates_then_duplicates(spark, sf):
     """Duplicates are sought among what the gates keep."""
-    good, bad = gates.split_kept(gated(spark, sf).select("doc_id", "text", "drop_reason"))
-    first = good.groupBy(F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("first"))
-    good = good.withColumn("digest", F.sha2("text", 256)).join(first, "digest")
-    good = good.select("doc_id", F.when(F.col("doc_id") > F.col("first"), "duplicate").otherwise("").alias("drop_reason"))
-    return bad.select("doc_id", "drop_reason").unionByName(good)
+    rows = gated(spark, sf).select("doc_id", F.when(F.col("drop_reason") == "", F.sha2("text", 256)).alias("digest"), "drop_reason")
+    return gates.with_duplicates(rows, "digest", "doc_id").select("doc_id", "drop_reason")
 
 
 @query("""SELECT d.doc_id, d.lang, CASE WHEN l.doc_id IS NOT NULL THEN 'labelled' ELSE d.source END AS source, CAST(l.quality AS VARCHAR) AS quality
@@ -99,10 +100,10 @@ def curate(spark, sf):
     return gates.curate(m, 1024, 150).select("doc_id")
 
 
-@query("SELECT p.page_id FROM pages p ANTI JOIN documents d ON p.page_id * 3 = d.doc_id")
+@query("SELECT d.doc_id FROM documents d ANTI JOIN (SELECT doc_id FROM labels WHERE quality = 1) l ON d.doc_id = l.doc_id")
 def cache_worklist(spark, sf):
-    pages = table(spark, sf, "pages").select("page_id", (F.col("page_id") * 3).alias("key"))
-    return manifest.worklist(pages, table(spark, sf, "documents").withColumnRenamed("doc_id", "key"), "key").select("page_id")
+    """What no stored success covers: unlabelled documents, and those whose stored result was a failure."""
+    return manifest.worklist(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").where("quality = 1"), "doc_id")
 
 
 @query("SELECT p.page_id, l.quality AS cached FROM pages p LEFT JOIN labels l ON p.page_id = l.doc_id")
@@ -131,3 +132,122 @@ BLOCKED = ("the that", "anly", "ou", "reading", "Thing_er")
 SELECT doc_id, array_to_string([x FOR x IN tokens IF x IN {tuple(b.lower().replace('_', ' ') for b in BLOCKED)}], ',') AS hits FROM t""")
 def token_block(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.array_join(text.block_hits(F.col("text"), BLOCKED), ",").alias("hits"))
+
+
+@query("""SELECT p_partkey, CASE WHEN bad THEN 'undecodable' WHEN coalesce(w, 0) < 1536 OR coalesce(h, 0) < 1536 THEN 'too_small' WHEN coalesce(sharp, 0) < 100 THEN 'blurry'
+  WHEN tiles IS NULL OR len(tiles) = 0 OR len([x FOR x IN tiles IF x >= 100]) / len(tiles) < 0.5 THEN 'flat_background' ELSE '' END AS drop_reason
+FROM (SELECT p_partkey, p_partkey % 13 = 0 AS bad, CASE WHEN p_partkey % 17 <> 0 THEN 1400 + p_partkey % 1000 END AS w, 1500 + p_partkey % 777 AS h,
+  CASE WHEN p_partkey % 19 <> 0 THEN p_size * 10.0 END AS sharp,
+  CASE p_partkey % 6 WHEN 0 THEN NULL WHEN 1 THEN [] WHEN 2 THEN [100.0, 1.0] WHEN 3 THEN [99.9, 200.0, 1.0] ELSE [p_size * 8.0, p_size * 4.0, 300.0, 20.0] END AS tiles FROM part)""")
+def gate_chain(spark, sf):
+    """Size, sharpness and tiles, in the order of their cost; an item without tiles has failed to show any sharp one."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    tiles = F.when(k % 6 == 0, None).when(k % 6 == 1, F.array().cast("array<double>")).when(k % 6 == 2, F.array(F.lit(100.0), F.lit(1.0))).when(k % 6 == 3, F.array(F.lit(99.9), F.lit(200.0), F.lit(1.0)))
+    items = table(spark, sf, "part").select(
+        "p_partkey",
+        (k % 13 == 0).alias("corrupt"),
+        F.when(k % 17 != 0, 1400 + k % 1000).alias("width"),
+        (1500 + k % 777).alias("height"),
+        F.when(k % 19 != 0, size * 10.0).alias("sharpness"),
+        tiles.otherwise(F.array(size * 8.0, size * 4.0, F.lit(300.0), F.lit(20.0))).alias("tiles"),
+    )
+    reason = gates.chain(items, Gates(min_size=1536))
+    return items.select("p_partkey", F.when(reason == "corrupt", "undecodable").otherwise(reason).alias("drop_reason"))
+
+
+@query("""SELECT l_orderkey, round(share, 6) AS share, share > 0.1 AS flag FROM (SELECT l_orderkey, least(sum(l_quantity * l_discount) / 100, 1) AS share FROM lineitem GROUP BY l_orderkey
+  UNION ALL SELECT -1, NULL)""".replace("share > 0.1 AS flag", "coalesce(share > 0.1, false) AS flag"))
+def text_overlay_flag(spark, sf):
+    """A flag on what stays; without a measurement there is none."""
+    share = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.least(F.sum(F.col("l_quantity") * F.col("l_discount")) / 100, F.lit(1.0)).alias("share"))
+    share = share.unionByName(spark.createDataFrame([(-1, None)], "l_orderkey long, share double"))
+    return share.select("l_orderkey", F.round("share", 6).alias("share"), gates.text_flag(F.col("share"), Gates().text_share).alias("flag"))
+
+
+#: Landed pages of results, made of orders: a media item for each, of several kinds and sizes, some without a key.
+MEDIA_SQL = """SELECT o_orderkey, 'u' || o_custkey % 50 AS handle, CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE 'k' || o_orderkey // 2 END AS media_key, CASE WHEN o_orderkey % 5 = 0 THEN 'video' ELSE 'photo' END AS type,
+  CASE WHEN o_orderkey % 29 <> 0 THEN 'https://h/' || o_orderkey // 2 END AS url, CASE WHEN o_orderkey % 31 <> 0 THEN 1200 + o_orderkey % 900 END AS width, 1400 + o_custkey % 500 AS height FROM orders"""
+
+
+def landed_media(spark, sf):
+    k = F.col("o_orderkey")
+    media = F.struct(
+        F.when(k % 23 == 0, "").otherwise(F.concat(F.lit("k"), F.floor(k / 2).cast("string"))).alias("media_key"),
+        F.when(k % 5 == 0, "video").otherwise("photo").alias("type"),
+        F.when(k % 29 != 0, F.concat(F.lit("https://h/"), F.floor(k / 2).cast("string"))).alias("url"),
+        F.when(k % 31 != 0, (1200 + k % 900).cast("int")).alias("width"),
+        (1400 + F.col("o_custkey") % 500).cast("int").alias("height"),
+    )
+    handle = F.concat(F.lit("u"), (F.col("o_custkey") % 50).cast("string"))
+    return table(spark, sf, "orders").select(handle.alias("handle"), F.array(media).alias("media"))
+
+
+FITS = "least(coalesce(width, 0), coalesce(height, 0)) >= 1536"
+
+
+@query(f"""SELECT DISTINCT media_key FROM ({MEDIA_SQL}) WHERE {FITS} AND type = 'photo' AND media_key <> '' AND url <> '' AND media_key NOT IN (SELECT 'k' || doc_id FROM labels)""")
+def media_to_fetch(spark, sf):
+    """What of the landed pages is worth fetching and hasn't been fetched."""
+    done = table(spark, sf, "labels").select(F.concat(F.lit("k"), F.col("doc_id").cast("string")).alias("media_key"))
+    return landing.media(landed_media(spark, sf), 1536, done).select("media_key")
+
+
+@query(f"SELECT count(*) AS scanned, count(*) FILTER (NOT {FITS}) AS too_small, count(*) FILTER ({FITS} AND type = 'photo') AS saved FROM ({MEDIA_SQL})")
+def fetch_counters(spark, sf):
+    return landing.figures(landed_media(spark, sf), 1536)
+
+
+@query("SELECT DISTINCT 'u' || o_custkey % 50 AS handle, n_nationkey AS user_id FROM orders LEFT JOIN nation ON 'u' || n_nationkey = 'u' || o_custkey % 50")
+def resolve_users(spark, sf):
+    """Every handle with its user's id; those that can't be resolved are skipped alone, here with a null id."""
+    users = table(spark, sf, "nation").select(F.concat(F.lit("u"), F.col("n_nationkey").cast("string")).alias("handle"), F.col("n_nationkey").alias("user_id"))
+    known, lost = landing.resolved(landed_media(spark, sf).select("handle").distinct(), users)
+    return known.unionByName(lost, allowMissingColumns=True)
+
+
+@query("""SELECT page_id, width, height, bytes, width IS NULL AS corrupt FROM (SELECT page_id, length(html) AS bytes,
+  CASE WHEN page_id % 4 <> 3 THEN page_id * 7 % 4000 + 1 END AS width, CASE WHEN page_id % 4 <> 3 THEN page_id * 11 % 3000 + 1 END AS height FROM pages)""".replace("bytes, width IS NULL", "width IS NULL").replace("length(html) AS bytes,", ""))
+def header_sizes(spark, sf):
+    """Sizes read from the headers of made-up files; a header of no known kind is a corrupt file."""
+    from loam.sources import pixels
+
+    be = lambda c, n: F.unhex(F.lpad(F.hex(c), 2 * n, "0"))
+    le = lambda c, n: F.concat(*[be(F.call_function("shiftright", c, F.lit(8 * i)).bitwiseAND(F.lit(255)), 1) for i in range(n)])
+    w, h, k = (F.col("page_id") * 7) % 4000 + 1, (F.col("page_id") * 11) % 3000 + 1, F.col("page_id") % 4
+    raw = lambda b: F.lit(bytearray(b))
+    png = F.concat(raw(b"\x89PNG\r\n\x1a\n\0\0\0\rIHDR"), be(w, 4), be(h, 4))
+    bmp = F.concat(raw(b"BM" + bytes(16)), le(w, 4), le(h, 4))
+    jpeg = F.concat(raw(b"\xff\xd8\xff\xe0\0\x04ab\xff\xc0\0\x0b\x08"), be(h, 2), be(w, 2))
+    files = table(spark, sf, "pages").select("page_id", F.when(k == 0, png).when(k == 1, bmp).when(k == 2, jpeg).otherwise(raw(b"no image")).alias("content"))
+    return pixels.with_sizes(files).select("page_id", "width", "height", "corrupt")
+
+
+@query(f"""SELECT vec_id, CASE WHEN score >= 0.2 THEN 'good' WHEN score >= 0 THEN 'medium' ELSE 'bad' END AS bucket
+FROM (SELECT vec_id, list_sum([embedding[i]::DOUBLE * (i % 3 - 1) FOR i IN range(1, 65)]) / sqrt(list_sum([x::DOUBLE * x::DOUBLE FOR x IN embedding])) + 0.05 AS score FROM embeddings)""")
+def score_buckets(spark, sf):
+    """A linear score of normalised vectors, in buckets."""
+    from loam.functions import models
+
+    score = models.linear_score(F.col("embedding"), [float(i % 3 - 1) for i in range(1, 65)], 0.05)
+    return table(spark, sf, "embeddings").select("vec_id", models.score_bucket(score, 0.2, 0.0).alias("bucket"))
+
+
+@query("""SELECT day, total, coalesce(sum(worse) OVER (ORDER BY day ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) >= 2, false) AS stop FROM (SELECT day, total,
+  CASE WHEN lag(total) OVER (ORDER BY day) - total <= 0 THEN 1 ELSE 0 END AS worse FROM (SELECT dayofyear(ts) AS day, sum(floor(value * 100 + 0.5))::BIGINT AS total FROM events GROUP BY 1))""")
+def flat_epochs(spark, sf):
+    """Where the daily sum hasn't fallen for two days in a row."""
+    from .stages import flat_epochs as flat
+
+    days = table(spark, sf, "events").groupBy(F.dayofyear("ts").alias("epoch")).agg(F.sum(F.floor(F.col("value") * 100 + 0.5).cast("long")).alias("loss"))
+    return flat(days).select(F.col("epoch").alias("day"), F.col("loss").alias("total"), "stop")
+
+
+@query("""SELECT doc_id, row_number() OVER (ORDER BY CASE WHEN drop_reason = '' THEN 2 WHEN drop_reason = 'duplicate' THEN 1 ELSE 0 END, doc_id) - 1 AS emitted, drop_reason FROM (
+  SELECT doc_id, CASE WHEN short THEN 'too_small' WHEN row_number() OVER (PARTITION BY short, text ORDER BY doc_id) > 1 THEN 'duplicate' ELSE '' END AS drop_reason
+  FROM (SELECT doc_id, text, n_chars < 400 AS short FROM documents))""")
+def emission_order(spark, sf):
+    """A manifest's rows in the order in which they are written: what gates drop, then duplicates, then what stays."""
+    from loam.operators.ordered import emission
+
+    docs = table(spark, sf, "documents").select("doc_id", F.when(F.col("n_chars") >= 400, F.sha2("text", 256)).alias("digest"), F.when(F.col("n_chars") < 400, "too_small").otherwise("").alias("drop_reason"))
+    return emission(gates.with_duplicates(docs, "digest", "doc_id"), "drop_reason", ["doc_id"]).select("doc_id", "emitted", "drop_reason")

@@ -16,34 +16,29 @@ from loam.session import materialised
 
 
 def in_order(items: DataFrame) -> DataFrame:
-    """items with `ord`, unique and ascending by source and path: ranges are sorted apart, with offsets between them."""
+    """items with `ord`, their place by source and the parts of their paths."""
     key = F.struct("source_ord", text.path_order(F.col("path")).alias("parts"))
-    n = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = materialised(items.withColumn("_key", key).repartitionByRange(n, "_key").sortWithinPartitions("_key").withColumn("_at", F.monotonically_increasing_id()))
-    # The row numbers of range-sorted partitions ascend over all of them, though with gaps.
-    return dealt.withColumnRenamed("_at", "ord").drop("_key")
+    return ordered.numbered(items.withColumn("_key", key), ["_key"], "ord").drop("_key")
 
 
 def measured_gates(items: DataFrame, g: Gates) -> DataFrame:
     """items with drop_reason, and bg_metric, the share of sharp tiles, where there are tiles."""
-    small = geometry.too_small(F.col("width"), F.col("height"), g.min_size)
-    blurry = F.coalesce(F.col("sharpness"), F.lit(0.0)) < g.min_sharpness
-    reason = gates.drop_reason(F.coalesce("corrupt", F.lit(True)), small, blurry, g.drop_small, g.drop_blurry)
-    flat = F.col("tiles").isNotNull() & ~arrays.passes_share(F.col("tiles"), g.tile_sharpness, g.tile_share)
-    return items.withColumns({"drop_reason": F.when((reason == "") & flat, "flat_background").otherwise(reason), "bg_metric": arrays.sharp_share(F.col("tiles"), g.tile_sharpness)})
+    share = arrays.sharp_share(F.col("tiles"), g.tile_sharpness) if "tiles" in items.columns else F.lit(None).cast("double")
+    return items.withColumns({"drop_reason": gates.chain(items, g), "bg_metric": share})
 
 
 def curate_pool(items: DataFrame, g: Gates = Gates(), per_source: bool = False) -> DataFrame:
-    """The manifest of a pool: gates, then clusters over all sources, or within each, then crops and names."""
+    """The manifest of a pool: gates, then clusters over all sources, or within each, then crops and names. `emitted` is the place
+    of a row in it: what the gates drop, duplicates, then what stays."""
     gated = materialised(in_order(measured_gates(items, g)))
     good, bad = gates.split_kept(gated)
     clustered = cluster.greedy_clusters(good.withColumn("px", F.col("width").cast("long") * F.col("height")), g.max_hamming, "source" if per_source else None)
     first = clustered.where("kept")
     cropped = first.withColumn("box", geometry.ratio_crop(F.col("width").cast("long"), F.col("height").cast("long")))
     named = ordered.output_names(cropped, F.col("source"), "path", ["ord"])
-    kept = named.select(F.col("out_name").alias("path"), F.col("path").alias("original"), "source", (F.col("box.r") - F.col("box.l")).alias("width"), (F.col("box.b") - F.col("box.t")).alias("height"), "box", arrays.hex64(F.col("h")).alias("phash"), F.col("sharpness").alias("blur_var"), "bg_metric", F.lit("False").alias("dropped"), F.lit("").alias("drop_reason"))
-    dropped = bad.select("path", "source", "drop_reason").unionByName(clustered.where("not kept").select("path", "source", F.lit("duplicate").alias("drop_reason")))
-    return manifest.union(kept, dropped.withColumn("dropped", F.lit("True")))
+    kept = named.select("ord", F.col("out_name").alias("path"), F.col("path").alias("original"), "source", (F.col("box.r") - F.col("box.l")).alias("width"), (F.col("box.b") - F.col("box.t")).alias("height"), "box", arrays.hex64(F.col("h")).alias("phash"), F.col("sharpness").alias("blur_var"), "bg_metric", F.lit("False").alias("dropped"), F.lit("").alias("drop_reason"))
+    dropped = bad.select("ord", "path", "source", "drop_reason").unionByName(clustered.where("not kept").select("ord", "path", "source", F.lit("duplicate").alias("drop_reason")))
+    return ordered.emission(manifest.union(kept, dropped.withColumn("dropped", F.lit("True"))), "drop_reason", ["ord"]).drop("ord")
 
 
 def bucket_ratios(curated: DataFrame, r: Ratios = Ratios()) -> DataFrame:

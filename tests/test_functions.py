@@ -107,18 +107,37 @@ def test_clusters_are_those_of_the_greedy_walk(spark, most):
     assert {(r["ord"], r["leader"], r["kept"]) for r in got} == greedy(items, most)
 
 
-@pytest.mark.parametrize("group", [None, "g"])
-def test_more_hashes_than_are_compared_at_once(spark, group, monkeypatch):
-    """Pairs of blocks give all close pairs, within a group if given, where bands would be too narrow."""
-    monkeypatch.setattr(cluster, "MOST_ALL", 50)
-    monkeypatch.setattr(cluster, "BLOCK", 16, raising=False)
+@pytest.mark.parametrize("grouped", [False, True])
+@pytest.mark.parametrize("most", [8, 24])
+def test_close_hashes_are_all_found(spark, grouped, most, monkeypatch):
+    """By variants of bands and in pairs of blocks, within a group if there is one."""
+    monkeypatch.setattr(cluster, "BLOCK", 16)
     rng = random.Random(6)
-    items = [(i, rng.getrandbits(64) - (1 << 63), rng.choice((None, "a", "b"))) for i in range(150)]
-    items += [(200 + i, h, g) for i, h, g in items[:20]]
-    got = cluster.close_pairs(spark.createDataFrame(items, "ord long, h long, g string"), 24, group).collect()
+    items = [(rng.getrandbits(64) - (1 << 63), rng.choice((None, "a", "b"))) for _ in range(100)]
+    items += [(h ^ sum({1 << rng.randrange(63) for _ in range(9)}), g) for h, g in items]
+    hashes = spark.createDataFrame(items, "h long, _g string")
+    got = cluster.close_hashes(hashes if grouped else hashes.select("h"), most).collect()
     bits = lambda x, y: ((x ^ y) % (1 << 64)).bit_count()
-    true = [(a, b, bits(x, y)) for a, x, g in items for b, y, k in items if a < b and bits(x, y) <= 24 and (not group or g == k)]
-    assert sorted(map(tuple, got)) == sorted(true)
+    true = {(g if grouped else 0, min(x, y), max(x, y)) for x, g in items for y, k in items if x != y and bits(x, y) <= most and (not grouped or g == k)}
+    assert len(got) == len(true) > 20 and {(r["_g"] if grouped else 0, r["x"], r["y"]) for r in got} == true
+
+
+def test_pairs_of_copies(spark):
+    got = cluster.close_pairs(spark.createDataFrame([(0, 5), (1, 5), (2, 4), (3, -1), (4, None)], "ord long, h long"), 3).collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 0), (0, 2, 1), (1, 2, 1)]
+
+
+@pytest.mark.parametrize("group", [None, "g"])
+def test_copies_make_no_pairs(spark, group, monkeypatch):
+    """300 equal hashes are one walked item of each group; items without a hash stay."""
+    seen = []
+    monkeypatch.setattr(cluster, "leaders", lambda pairs, real=cluster.leaders: (seen.append(pairs.count()), real(pairs))[1])
+    items = [(i, 7, i % 5, "ab"[i % 2]) for i in range(300)] + [(300, 6, 9, None), (301, None, 1, "a"), (302, 6, 9, None)]
+    got = {r["ord"]: r for r in cluster.greedy_clusters(spark.createDataFrame(items, "ord long, h long, px long, g string"), 8, group).collect()}
+    assert seen == [0 if group else 1] and len(got) == 303
+    assert {got[i]["leader"] for i in range(300)} == ({0, 1} if group else {0}) and got[301]["kept"]
+    assert (got[300]["leader"], got[302]["leader"]) == ((300, 300) if group else (0, 0))
+    assert [i for i in range(303) if got[i]["kept"]] == ([4, 9, 300, 301] if group else [300, 301])
 
 
 def test_chain_is_two_clusters(spark):

@@ -21,7 +21,8 @@ def manifest(spark):
         ("r/c.jpg", "x", 0, 500, 2000, False, 2, 150.0, SHARP),
         ("r/d.jpg", "x", 0, 2000, 2000, False, 1 << 40, 20.0, SHARP),
         ("s/e.jpg", "y", 1, 2000, 2000, False, (1 << 60) - 1, 150.0, [200.0] * 4 + [1.0] * 12),
-        ("s/b.png", "y", 1, 1600, 1600, False, (1 << 30) - 1, 150.0, None),
+        ("s/b.png", "y", 1, 1600, 1600, False, (1 << 30) - 1, 150.0, SHARP),
+        ("s/n.png", "y", 1, 1600, 1600, False, (1 << 40) - 1 << 20, 150.0, None),
         ("s/q/b.jpg", "y", 1, 1600, 1600, False, (1 << 50) - 1, 150.0, SHARP),
         ("s/z.jpg", "y", 1, None, None, True, None, None, None),
     ]
@@ -31,9 +32,19 @@ def manifest(spark):
 def test_curation(spark):
     got = {r["original"] or r["path"]: r for r in manifest(spark).collect()}
     reasons = {k: r["drop_reason"] for k, r in got.items()}
-    assert reasons == {"r/a.jpg": "duplicate", "r/b.jpg": "", "r/c.jpg": "too_small", "r/d.jpg": "blurry", "s/e.jpg": "flat_background", "s/b.png": "", "s/q/b.jpg": "", "s/z.jpg": "corrupt"}
+    assert reasons == {"r/a.jpg": "duplicate", "r/b.jpg": "", "r/c.jpg": "too_small", "r/d.jpg": "blurry", "s/e.jpg": "flat_background", "s/b.png": "", "s/n.png": "flat_background", "s/q/b.jpg": "", "s/z.jpg": "corrupt"}
     assert (got["r/b.jpg"]["path"], got["r/b.jpg"]["width"], got["r/b.jpg"]["height"]) == ("x_b.jpg", 3000, 2000)
     assert [got[p]["path"] for p in ("s/b.png", "s/q/b.jpg")] == ["y_b.jpg", "y_b_1.jpg"]
+    order = sorted(got, key=lambda k: got[k]["emitted"])
+    assert order == ["r/c.jpg", "r/d.jpg", "s/e.jpg", "s/n.png", "s/z.jpg", "r/a.jpg", "r/b.jpg", "s/b.png", "s/q/b.jpg"]
+    assert sorted(r["emitted"] for r in got.values()) == list(range(9))
+
+
+def test_no_tiles_need_no_tile_gate(spark):
+    rows = [("a", "x", 0, 2000, 2000, False, 0, 150.0, None), ("b", "x", 0, 2000, 2000, False, 0, 150.0, [])]
+    items = spark.createDataFrame(rows, ITEMS)
+    reasons = lambda df, **g: [r["drop_reason"] for r in stages.measured_gates(df, Gates(**g)).orderBy("path").collect()]
+    assert reasons(items) == ["flat_background"] * 2 and reasons(items, tiles=0) == ["", ""] == reasons(items.drop("tiles"))
 
 
 def test_captions_and_pairs(spark, tmp_path):
