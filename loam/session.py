@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names for checkpoints; a temporary one only where none is named."""
+    """The folder that the cluster names for checkpoints; a temporary one of this machine only if all tasks run on it."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         own = tempfile.mkdtemp(prefix="loam-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(own)
