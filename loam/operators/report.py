@@ -63,7 +63,7 @@ def pair_integrity(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return out.withColumn("ok", (F.col("n_both") > 0) & (F.col("n_left") == F.col("n_both")) & (F.col("n_right") == F.col("n_both")))
 
 
-def read_cost(posts: int, media: int, post_price: float = 0.005, media_price: float = 0.005) -> float:
-    """An estimate before a paid fetch."""
+def read_cost(posts, media, post_price: float = 0.005, media_price: float = 0.005):
+    """An estimate before a paid fetch, of numbers or columns."""
     return posts * post_price + media * media_price
 
