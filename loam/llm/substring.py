@@ -165,7 +165,8 @@ def _packed(owner, own, ids, marks, start, a=None, b=None):
 def _starts(doc, mark, start, buckets: int):
     """Records of repeated starts, by their documents' buckets."""
     own, ids, marks = _numbered(doc, mark)
-    yield from _packed((_mixed(doc.astype("u8")) % np.uint64(buckets)).astype("i8"), own, ids, marks, start)
+    # By the text too, so that many rows of one id, or of none, spread.
+    yield from _packed((_mixed(doc.astype("u8") ^ _mixed(mark.astype("u8"))) % np.uint64(buckets)).astype("i8"), own, ids, marks, start)
 
 
 def _unpacked(record) -> tuple[np.ndarray, ...]:
