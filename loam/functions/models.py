@@ -34,6 +34,14 @@ def best_label(scores: Column) -> Column:
     return F.get(ranked, F.lit(0))["k"]
 
 
+def class_of(labels: Column, classes: dict[str, list[str]], default: str = "") -> Column:
+    """The first of the classes of which the array holds any label; the default if none, or for a null array."""
+    found = F.lit(default)
+    for name, members in reversed(classes.items()):
+        found = F.when(F.arrays_overlap(labels, F.array(*[F.lit(m) for m in members])), F.lit(name)).otherwise(found)
+    return found
+
+
 def linear_score(vector: Column, weights: list[float], bias: float = 0.0) -> Column:
     """weights . vector / |vector| + bias, in double precision; null for a zero vector."""
     w = F.array(*[F.lit(float(x)) for x in weights])

@@ -84,14 +84,25 @@ def close_pairs(items: DataFrame, most: int) -> DataFrame:
     return pairs.join(a, "x").join(b, "y").where("a < b").select("a", "b", hamming(F.col("x"), F.col("y")).alias("dist"))
 
 
+#: Rounds of settling that are computed together before their result is written.
+STEPS = 2
+
+
 def leaders(pairs: DataFrame) -> DataFrame:
     """(ord, leader) of all items that are in a pair (a, b), a < b by the order; a leader's leader is itself."""
     pairs = materialised(pairs.select("a", "b"))
     state = pairs.select(F.col("a").alias("ord")).union(pairs.select("b")).distinct().withColumn("state", F.lit(0))
-    while True:
+
+    def settled(state: DataFrame) -> DataFrame:
+        """Leaders (1) are those without an earlier one that is undecided (0) or leads; members (2) those with one that leads."""
         before = pairs.join(state.select(F.col("ord").alias("a"), F.col("state").alias("s")), "a").groupBy("b").agg(F.max((F.col("s") == 1).cast("int")).alias("led"), F.min((F.col("s") == 2).cast("int")).alias("free"))
         new = F.when(F.col("state") != 0, F.col("state")).when(F.col("led") == 1, 2).when(F.coalesce("free", F.lit(1)) == 1, 1).otherwise(0)
-        state = materialised(state.join(before, state["ord"] == before["b"], "left").select("ord", new.alias("state")))
+        return state.join(before, state["ord"] == before["b"], "left").select("ord", new.alias("state"))
+
+    while True:
+        for _ in range(STEPS):
+            state = settled(state)
+        state = materialised(state)
         if not state.where("state = 0").limit(1).count():
             break
     firsts = pairs.join(state.where("state = 1").select(F.col("ord").alias("a")), "a").groupBy("b").agg(F.min("a").alias("leader"))

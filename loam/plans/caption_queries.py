@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from loam.functions import captions, text
 from loam.functions.geometry import resolution_tag
+from loam.functions.models import class_of
 
 from .registry import query, table
 
@@ -80,8 +81,7 @@ def detection_class(spark, sf):
     """A person wins over a background."""
     k = F.from_json("props", "k int")["k"]
     labels = F.array(F.when(k < 30, "person").otherwise("none"), F.col("event_type"))
-    person, scene = F.array_contains(labels, "person"), F.arrays_overlap(labels, F.array(F.lit("view"), F.lit("click")))
-    return table(spark, sf, "events").select("event_id", k.alias("k"), F.when(person, "person").when(scene, "bg").otherwise("").alias("class"))
+    return table(spark, sf, "events").select("event_id", k.alias("k"), class_of(labels, {"person": ["person"], "bg": ["view", "click"]}).alias("class"))
 
 
 @query("SELECT l_orderkey, l_linenumber, l_quantity AS quantity, o_orderstatus FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_quantity >= 10")

@@ -80,18 +80,16 @@ SELECT doc_id, leader, row_number() OVER (PARTITION BY leader ORDER BY n_chars D
 def near_dup_documents(spark, sf):
     """Clusters of documents by a hash of their distinct words; the longest of a cluster stays."""
     half = 2 * DIGITS
-    low, shift = F.lit((1 << half) - 1).cast("long"), lambda name, x, k: F.call_function(name, x, k)
-    word = lambda x: F.conv(F.substring(F.md5(F.encode(x, "utf-8")), 1, DIGITS), 16, 10).cast("long")
-
-    def fold(words):
-        # Bits k and k + half are counted together, in the two halves of one number.
-        count = lambda k: F.aggregate(words, F.lit(0).cast("long"), lambda n, x: n + shift("shiftright", x, k).bitwiseAND(F.lit(1 | 1 << half)))
-        counts = F.transform(F.sequence(F.lit(0), F.lit(half - 1)), lambda k: F.struct(k.alias("k"), count(k).alias("n")))
-        bit = lambda n, k: F.when(2 * n > F.size(words), shift("shiftleft", F.lit(1).cast("long"), k)).otherwise(F.lit(0).cast("long"))
-        return F.aggregate(counts, F.lit(0).cast("long"), lambda h, c: h + bit(c["n"].bitwiseAND(low), c["k"]) + bit(F.shiftright(c["n"], half), c["k"] + half))
-
-    h = arrays.bound(F.transform(F.array_distinct(F.split("text", " ")), word), fold)
-    items = table(spark, sf, "documents").select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("px"), h.alias("h"))
+    low, one = F.lit((1 << half) - 1), lambda k: F.lit(1 << k).cast("long")
+    words = table(spark, sf, "documents").select("doc_id", "n_chars", F.explode(F.array_distinct(F.split("text", " "))).alias("x"))
+    words = words.select("doc_id", "n_chars", F.conv(F.substring(F.md5(F.encode("x", "utf-8")), 1, DIGITS), 16, 10).cast("long").alias("w"))
+    # Bits k and k + half are counted together, in the two halves of one number: as few sums as the compiled aggregation takes.
+    sums = [F.sum(F.shiftright("w", k).bitwiseAND(F.lit(1 | 1 << half))).alias(f"b{k}") for k in range(half)]
+    counts = words.groupBy("doc_id", "n_chars").agg(F.count("*").alias("n"), *sums)
+    bits = [F.when(2 * F.col(f"b{k}").bitwiseAND(low) > F.col("n"), one(k)).otherwise(F.lit(0)) for k in range(half)]
+    bits += [F.when(2 * F.shiftright(f"b{k}", half) > F.col("n"), one(k + half)).otherwise(F.lit(0)) for k in range(half)]
+    h = F.aggregate(F.array(*bits), F.lit(0).cast("long"), lambda a, x: a + x)
+    items = counts.select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("px"), h.alias("h"))
     return cluster.greedy_clusters(items, 8).select(F.col("ord").alias("doc_id"), "leader", "kept")
 
 

@@ -224,6 +224,9 @@ def test_files(spark, tmp_path):
     found = files.roots(spark, {"x": str(tmp_path / "a"), "none": str(tmp_path / "z"), "y": str(tmp_path / "c")})
     assert sorted((r["source"], r["path"].rsplit("/", 1)[1]) for r in found.collect()) == [("x", "one.JPG"), ("x", "two.png"), ("y", "three.webp")]
     assert files.of_size(found, 5).count() == 3
+    in_buckets = files.buckets(spark, str(tmp_path), ("a", "none", "c")).groupBy("bucket").count().collect()
+    assert {tuple(r) for r in in_buckets} == {("a", 2), ("c", 1)}
+    assert report.read_cost(3, 4) == pytest.approx(0.035)
     out = str(tmp_path / "m.csv")
     assert files.read_manifest(spark, out).count() == 0
     df = spark.createDataFrame([('a "q", b', "line\nbreak"), ("", None)], "path string, caption string")
