@@ -1,36 +1,68 @@
 """Sharding by sampled splitters, to shards of nearly equal bytes.
 
-Records are ordered by a hash of their text, so that equal texts lie together. A sample of keys, drawn by size, gives
-the boundaries of many ranges; the bytes of each range are then counted exactly, and running sums over the ranges and
-within each give every record its place in the order of all bytes, which is cut into shards. A group of equal texts
-that is large against a shard is subdivided by document; a smaller one stays whole. The few records that are
-large against a shard are placed first, each into the shard with the most room.
+Records are ordered by a hash of their text, so that equal texts lie together. A sample of keys, drawn by size, gives quantile
+boundaries, and records are dealt to the ranges between them. The bytes of each range are counted exactly; an overfull range is
+subdivided by a denser sample of its own keys, until it fits or holds one key alone. Ranges in order, and records in order
+within each, give every record its place in the order of all bytes, which is cut into shards. A group of equal texts that is
+large against a shard is subdivided by document; a smaller one stays whole. The few records that are large against a shard
+are placed first, each into the shard with the most room.
 """
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions, range_of, saved, with_offsets
+from .common import join_spread, partitions, range_of, saved, with_offsets
 
 SHARDS, OVERHEAD = 40, 16
 #: Of a shard's bytes: a record from the first on is placed by itself, a group up to the second stays whole.
 LARGE, WHOLE = 0.02, 0.01
-#: Sampled keys a range, and rows of one large group that are numbered together.
-SAMPLE, TOGETHER = 64, 100_000
+#: Sampled keys a range; how often its even share of the bytes a range may hold; rows of a large group that are numbered together.
+SAMPLE, OVERFULL, TOGETHER = 64, 2.0, 100_000
 
 
-def _splitters(groups: DataFrame, total: int, ranges: int) -> list[int]:
-    """Boundaries at even steps of bytes, from a sample of about SAMPLE * ranges keys that is drawn by size."""
-    step = max(1.0, total / (SAMPLE * ranges))
-    drawn = F.pmod(F.xxhash64(F.lit(1), "key", "crc"), F.lit(1 << 30)) / float(1 << 30) < F.col("bytes") / step
-    sample = sorted((r["key"], max(r["bytes"], step)) for r in groups.where(drawn).select("key", "bytes").collect())
+def _quantiles(sample: list[tuple[int, float]], ranges: int) -> list[int]:
+    """Keys that cut a sample (key, weight) into so many parts of even weight."""
     if not sample:
         return []
+    sample.sort()
     weight = np.cumsum([w for _, w in sample])
-    at = np.searchsorted(weight, weight[-1] * np.arange(1, ranges) / ranges)
-    return sorted({sample[i][0] for i in at})
+    return sorted({sample[i][0] for i in np.searchsorted(weight, weight[-1] * np.arange(1, ranges) / ranges)})
+
+
+def _drawn(groups: DataFrame, step: float, salt: int) -> list:
+    """Keys with their bytes, drawn by size: one of every `step` bytes, about; groups of more bytes are all drawn."""
+    share = F.pmod(F.xxhash64(F.lit(salt), "key", "crc"), F.lit(1 << 30)) / float(1 << 30)
+    return groups.where(share < F.col("bytes") / F.lit(step)).collect()
+
+
+def splitters(groups: DataFrame, total: int, ranges: int) -> list[int]:
+    """Ascending boundaries of at least `ranges` ranges of keys, so that none holds over OVERFULL times its even share of the
+    bytes, but for a range of one key. groups: written, (key, crc, bytes).
+
+    Only sampled keys, SAMPLE a range, and one sum a range reach the driver.
+    """
+    even = max(1.0, total / ranges)
+    first = _drawn(groups.select("key", "crc", "bytes"), even / SAMPLE, 1)
+    bounds, tried = _quantiles([(r["key"], max(r["bytes"], even / SAMPLE)) for r in first], ranges), 1
+    while True:
+        ranged = groups.select("key", "crc", "bytes", range_of(F.col("key"), bounds).alias("range"))
+        sums = ranged.groupBy("range").agg(F.sum("bytes").alias("bytes"), F.min("key").alias("low"), F.max("key").alias("high")).collect()
+        over = {r["range"]: r["bytes"] for r in sums if r["bytes"] > OVERFULL * even and r["low"] < r["high"]}
+        if not over:
+            return bounds
+        tried += 1
+        # At most ranges / OVERFULL ranges are overfull. Each further sample is four times as dense.
+        inside = ranged.where(F.col("range").isin(list(over)))
+        step, found = even / SAMPLE / 4 ** (tried - 1), {}
+        for r in _drawn(inside, step, tried):
+            found.setdefault(r["range"], []).append((r["key"], max(r["bytes"], step)))
+        new = set(bounds)
+        for r, sample in found.items():
+            new |= set(_quantiles(sample, int(np.ceil(over[r] / even)) + 1))
+        # A range whose keys' quantiles are its own boundaries is cut where its least key ends.
+        new |= {r["low"] + 1 for r in sums if r["range"] in over} if new == set(bounds) else set()
+        bounds = sorted(new)
 
 
 def _room(shards: int, loads: np.ndarray, rest: int) -> list[float]:
@@ -46,8 +78,8 @@ def _room(shards: int, loads: np.ndarray, rest: int) -> list[float]:
 def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) -> DataFrame:
     """One row a document (doc_id, text): its shard, and its slot there, from 0 without gaps.
 
-    A null text counts as empty. Repeated rows are records of their own; null doc_ids come first in their shard. No
-    rows give none.
+    A null text counts as empty. Repeated rows are records of their own; null doc_ids come first in their shard. A text of any
+    length is one record. Other columns are ignored, whatever their names. No rows give none.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -71,14 +103,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) ->
     small = rows.where(~large)
     group = ["key", "crc", "size"]
     groups = saved(small.groupBy(*group).agg(F.count("*").alias("n"))).withColumn("bytes", F.col("n") * F.col("size"))
-    ranges = max(64, 4 * n)
-    bounds = np.array(_splitters(groups, total, ranges), dtype="int64")
-
-    @F.pandas_udf("int")
-    def range_number(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, key.to_numpy(), side="right").astype("int32"))
-
-    groups = with_offsets(groups.withColumn("range", range_number("key")), [], "range", {"bytes": F.col("bytes")})
+    bounds = splitters(groups, total, max(64, 4 * n))
+    groups = with_offsets(groups.withColumn("range", range_of(F.col("key"), bounds)), [], "range", {"bytes": F.col("bytes")})
     earlier = Window.partitionBy("range").orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
     groups = groups.withColumn("start", F.col("bytes_before") + F.coalesce(F.sum("bytes").over(earlier), F.lit(0)))
     groups = saved(groups.select(*group, "n", "bytes", "start"))
@@ -94,7 +120,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) ->
     number = F.row_number().over(Window.partitionBy(*group, "part").orderBy("doc_id", "row")) - 1 + F.col("rank_before")
     middle = F.col("start") + number * F.col("size") + F.col("size") / 2
     apart = apart.select("row", "doc_id", "size", "crc", range_of(middle, cuts, "double").alias("shard"))
-    together = small.join(F.broadcast(split), group, "left_anti").join(kept.select(*group, "shard"), group).select("row", "doc_id", "size", "crc", "shard")
+    rest = small.join(F.broadcast(split), group, "left_anti")
+    together = join_spread(rest, saved(kept.select(*group, "n", "shard")), group, "n").select("row", "doc_id", "size", "crc", "shard")
 
     out = first.unionByName(apart).unionByName(together).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
     out = with_offsets(saved(out), ["shard"], "part", {"slot": F.lit(1)})
