@@ -9,6 +9,8 @@ therefore share a selected gram, as do two long runs that share PIECE + K + W -
 Other grams are of tokens and not of characters as the latter cost five times the work: 2.5 microseconds a character, measured.
 """
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ _ANY = r"[^\x20\x09-\x0D]"
 _WORD = rf"(?<!{_ANY}){_ANY}{{1,{LONGEST}}}+(?!{_ANY})"
 #: Its group 1 is the token; a match takes up the whole word, or one character of a long run.
 TOKEN = rf"(?=({_WORD}|{_ANY}{{1,{PIECE}}}+))(?:{_WORD}|{_ANY})"
-#: A key holds 40 bits of hash above 23 bits of place; from the 2^23rd token on places count anew.
+#: A key holds 40 bits of hash above the last 23 bits of the place. Grams are compared within a window only, and selected places
+#: ascend by less than a window, so that the rest of a place is known from the ones before it.
 PLACE = 23
 
 
@@ -46,13 +49,23 @@ def selected(text: Column) -> Column:
 
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), 1)
     keys = let(tokens, lambda t: first(F.transform(t, gram(t)), K))
-    return F.array_distinct(let(keys, lambda k: first(F.transform(k, least(k)), W)))
+    chosen = let(keys, lambda k: first(F.transform(k, least(k)), W))
+    # A gram that several windows in a row select is selected once.
+    return let(chosen, lambda c: F.filter(c, lambda x, i: (i == 0) | (x != F.get(c, i - 1))))
 
 
 def places(items: Column) -> Column:
     """The number of the first token of each selected gram, from 0."""
     mask = (1 << PLACE) - 1
-    return F.transform(items, lambda x: (F.lit(mask) - x.bitwiseAND(F.lit(mask))).cast("int"))
+    low = lambda x: F.lit(mask) - x.bitwiseAND(F.lit(mask))
+    # Where the last bits fall, a lap of 2^PLACE tokens is over. Few texts have any, so laps are counted for those alone.
+    falls = lambda v: F.filter(F.sequence(F.lit(1), F.size(v) - 1), lambda i: F.get(v, i) < F.get(v, i - 1))
+
+    def unrolled(v: Column) -> Column:
+        laps = lambda f: F.transform(v, lambda x, i: x + F.shiftleft(F.size(F.filter(f, lambda at: at <= i)).cast("long"), PLACE))
+        return F.when(F.size(v) < 2, v).otherwise(let(falls(v), lambda f: F.when(F.size(f) == 0, v).otherwise(laps(f))))
+
+    return let(F.transform(items, low), unrolled)
 
 
 def hashes(items: Column) -> Column:
@@ -76,33 +89,55 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     return items.withColumns({"fingerprint": digest(F.col("_items")), "positions": places(F.col("_items"))}).drop("_items")
 
 
-def in_descending_ranges(docs: DataFrame, key: str, n: int) -> DataFrame:
-    """docs dealt out by ranges of key, `_range`; where a range ends, the first row after it comes along as `_ghost`.
+#: Sampled steps a range, which are put together to ranges of even bytes.
+STEPS = 4
+
 
-    Ranges hold about as many rows each. Only boundaries, one value a range, reach the driver. After the least row
-    comes the greatest. A null key sorts after all others.
+def _firsts(sizes: list[int], n: int) -> list[int]:
+    """Where up to n ranges of steps begin, of about even size."""
+    total, seen, firsts = sum(sizes), 0, [0]
+    for i, size in enumerate(sizes):
+        if i > firsts[-1] and seen * n >= total * len(firsts):
+            firsts.append(i)
+        seen += size
+    return firsts
+
+
+def in_descending_ranges(docs: DataFrame, n: int) -> DataFrame:
+    """docs (doc_id, text) in ranges of the descending order of (doc_id, nulls last, `_hash` of the text): `_range` is a partition's
+    number, and where a range ends, the first row after it comes along as `_ghost`; after the last row comes the first.
+
+    Ranges hold about as many bytes each. An id that many rows share, or null, is cut by the hash of the text, and so spreads like
+    any others. Only boundaries and one row a step reach the driver.
     """
-    at = F.col(key)
-    spots = [i / n for i in range(1, n)] or [0.5]
-    bounds = sorted(set(docs.agg(F.percentile_approx(at, spots, 20 * n)).first()[0] or []))
-    # Ranges are numbered from 1; 0 holds rows without a key.
-    ranged = docs.withColumn("_range", F.when(at.isNull(), F.lit(0)).otherwise(range_of(at, bounds) + 1))
-    tops = dict(ranged.groupBy("_range").agg(F.max(at)).collect())
-    order = sorted(tops)
-    after = {r: order[(i + 1) % len(order)] for i, r in enumerate(order)}
-    here = F.struct(F.col("_range").alias("r"), F.lit(False).alias("g"))
-    keyed = {tops[r]: t for r, t in after.items() if r}
-    target = F.when(at.isNull(), F.lit(after.get(0)).cast("int"))
-    if keyed:
-        target = target.when(at.isin(list(keyed)), F.element_at(F.map_from_arrays(literal_array(list(keyed), "long"), literal_array(list(keyed.values()), "int")), at))
-    there = F.struct(target.alias("r"), F.lit(True).alias("g"))
-    both = F.filter(F.array(here, there), lambda x: x["r"].isNotNull())
-    return (
-        ranged.withColumn("_at", F.explode(both))
-        .withColumns({"_range": F.col("_at")["r"], "_ghost": F.col("_at")["g"]})
-        .drop("_at")
-        .repartition(n, "_range")
-    )
+    rows = docs.withColumn("_hash", F.xxhash64("text"))
+    id_, hash_ = F.col("doc_id"), F.col("_hash")
+    spots = [i / (STEPS * n) for i in range(1, STEPS * n)]
+    found = rows.agg(F.percentile_approx("doc_id", spots, 20 * STEPS * n).alias("at"), F.count("*").alias("all"), F.count("doc_id").alias("ids")).first()
+    at, unnamed = found["at"] or [], found["all"] - found["ids"]
+    # An id that takes whole steps lies between bounds of its own, and is cut into as many parts.
+    often = {x: k + 1 for x, k in Counter(at).items() if k > 1}
+    bounds = sorted(set(at) | {x + 1 for x in often if x < (1 << 63) - 1})
+    parts = F.when(id_.isNull(), 1 + unnamed * STEPS * n // max(1, found["all"])).otherwise(1)
+    if often:
+        ids = sorted(often)
+        k = range_of(id_, ids) - 1
+        parts = F.when(F.get(literal_array(ids, "long"), k) == id_, F.get(literal_array([often[x] for x in ids], "int"), k)).otherwise(parts)
+    below = F.shiftrightunsigned(hash_.bitwiseXOR(F.lit(-(1 << 63))), 1) / F.lit(float(1 << 63))
+    step = F.when(id_.isNull(), len(bounds) + 1).otherwise(F.lit(len(bounds)) - range_of(id_, bounds)).cast("long")
+    rows = rows.withColumn("_step", F.shiftleft(step, 31) + F.floor((1 - below) * parts))
+    place = F.struct(id_.isNull().alias("none"), F.bitwise_not(id_), F.bitwise_not(hash_), id_.alias("id"), hash_.alias("hash"))
+    steps = rows.groupBy("_step").agg(F.sum(F.octet_length("text") + 64).alias("bytes"), F.min(place).alias("first")).orderBy("_step").collect()
+    starts = [steps[i] for i in _firsts([r["bytes"] for r in steps], n)] if steps else []
+    last = max(1, len(starts))
+    rows = rows.withColumn("_range", range_of(F.col("_step"), [r["_step"] for r in starts[1:]]))
+    of = lambda values: F.get(literal_array(values or [0], "long"), F.col("_range"))
+    same_id = F.coalesce(id_ == of([r["first"]["id"] or 0 for r in starts]), F.lit(False))
+    head = (hash_ == of([r["first"]["hash"] for r in starts])) & F.when(of([int(r["first"]["none"]) for r in starts]) == 1, id_.isNull()).otherwise(same_id)
+    own = F.struct(F.col("_range").alias("r"), F.lit(False).alias("g"))
+    before = F.struct(F.pmod(F.col("_range") - 1, F.lit(last)).alias("r"), F.lit(True).alias("g"))
+    dealt = rows.withColumn("_at", F.explode(F.when(head, F.array(own, before)).otherwise(F.array(own))))
+    return dealt.select("doc_id", "text", "_hash", F.col("_at.r").alias("_range"), F.col("_at.g").alias("_ghost")).repartitionById(last, F.col("_range"))
 
 
 def document_fingerprints(docs: DataFrame) -> DataFrame:
@@ -110,13 +145,14 @@ def document_fingerprints(docs: DataFrame) -> DataFrame:
 
     The edited text has its last floor(n/2) characters replaced by the first as many (or all) of the next document's,
     in descending doc_id; after the last comes the first. A null text counts as empty and has the fingerprint "".
-    Repeated doc_ids follow one another in the order of their texts' hashes; null doc_ids come last. No rows give none.
+    Repeated doc_ids follow one another in the descending order of their texts' hashes; null doc_ids come last, likewise. Other
+    columns are ignored, whatever their names. No rows give none.
     """
     n = partitions(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = in_descending_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")), "doc_id", n)
+    rows = in_descending_ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")), n)
     rows = rows.withColumn("items", selected(F.col("text")))
-    following = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
+    following = Window.partitionBy("_range").orderBy("_ghost", F.desc_nulls_last("doc_id"), F.desc("_hash"))
     rows = rows.withColumns({"after": F.lead("text").over(following), "after_items": F.lead("items").over(following)}).where(~F.col("_ghost"))
     # A single document follows itself.
     rows = rows.withColumns({"after": F.coalesce("after", "text"), "after_items": F.coalesce("after_items", "items"), "n_chars": F.length("text")})
