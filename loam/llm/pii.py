@@ -28,10 +28,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile("[0-9]")
 # Looser forms.
 AT = re.compile(r"([\[({]\s?at\s?[\])}]|\sat\s)", re.I)
-DOT = re.compile(r"\s?(?:[\[({]\s?dot\s?[\])}]|\sdot\s|\.)\s?", re.I)
+DOT = re.compile(r"(?:\s?[\[({]\s?dot\s?[\])}]\s?|\s{1,2}dot\s{1,2}|\.)", re.I)
 SPELLED = re.compile(r"[\[({]\s?dot\s?[\])}]|\sdot\s", re.I)
-LEFT = re.compile(r"[A-Za-z0-9._%+-]{1,64}\s?$")
-RIGHT = re.compile(rf"\s?[A-Za-z0-9-]{{1,63}}(?:{DOT.pattern}[A-Za-z0-9-]{{1,63}}){{1,6}}", re.I)
+RIGHT = re.compile(rf"\s?[A-Za-z0-9-]++(?:{DOT.pattern}[A-Za-z0-9-]++)++", re.I)
 LOCAL_PHONE = re.compile(r"(?<![0-9A-Za-z+.(-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9A-Za-z])")
 # Gazetteers: common endings of host names, first digits of card issuers, words that announce a kind.
 ENDINGS = frozenset("com org net edu gov io info biz de fr es it uk us eu ch at nl be pl se no dk fi pt br mx ca au jp cn in ru".split())
@@ -85,11 +84,18 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def _loose(text: str) -> list[tuple[int, int, int]]:
-    out = []
+    out, last = [], 0
     for m in AT.finditer(text):
-        a, b = LEFT.search(text, max(0, m.start() - 66), m.start()), RIGHT.match(text, m.end(), m.end() + 400)
-        if a and b and (m[0].strip()[0] in "[({" or SPELLED.search(b[0])):
-            out.append((0, a.start(), b.end()))
+        # Neither an "at" nor what was taken before is part of a name, so that no character is looked at twice.
+        end = m.start() - (m.start() > last and text[m.start() - 1].isspace())
+        start = end
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        if start < end and (b := RIGHT.match(text, m.end())) and (m[0].strip()[0] in "[({" or SPELLED.search(b[0])):
+            out.append((0, start, b.end()))
+            last = b.end()
+        else:
+            last = m.end()
     if DIGITS.search(text):
         out += [(1, m.start(), m.end()) for m in IP.finditer(text)]
         out += [(2, m.start(), m.end()) for m in CARD.finditer(text) if m.end() - m.start() >= 13 and 13 <= len(_digits(m[0])) <= 19]
@@ -194,10 +200,10 @@ def classifier(counts: dict[int, int], truth: dict[int, float], rounds: int = 30
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """One row a document (doc_id, text): the number of base spans by kind, their digest, and all spans.
+    """One row a document (doc_id, text): the number of base spans by kind, their digest, all spans, and their number.
 
-    A null text counts as empty and has no spans. Repeated rows get equal results. Spans count code points, their ends
-    excluded. No rows give none.
+    A null text counts as empty and has no spans; a null doc_id stays null. Repeated rows get equal results. Spans count code
+    points, their ends excluded, and may be of any length. Other columns are ignored, whatever their names. No rows give none.
     """
 
     def find(batches):
@@ -230,7 +236,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
         import hashlib
 
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for base, more in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 spans = list(zip(base[::3], base[1::3], base[2::3], strict=True))
                 for k in range(4):
@@ -238,7 +244,8 @@ def personal_data(docs: DataFrame) -> DataFrame:
                 extra = [(more[i], more[i + 1], more[i + 2]) for i in range(0, len(more), 4) if more[i + 3] in added]
                 cols[4].append(hashlib.sha256(join(spans).encode()).hexdigest())
                 cols[5].append(join(spans + extra))
-            arrays = [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(c, pa.string()) for c in cols[4:]]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                cols[6].append(len(spans) + len(extra))
+            arrays = [pa.array(c, t) for c, t in zip(cols, [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_spans"])
 
-    return found.select("doc_id", "base", "more").mapInArrow(finish, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return found.select("doc_id", "base", "more").mapInArrow(finish, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long")
