@@ -9,7 +9,7 @@ crosses its source's target is cut there.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, partitions, saved, with_offsets
+from .common import WORD, partitions, saved, unused, with_offsets
 
 WEIGHTS, MOST_PASSES, SEED = (1, 2, 3), 3, 42
 #: Rows of a table of sources up to which it is broadcast; with more sources it is joined by them.
@@ -103,7 +103,9 @@ def mixed(docs: DataFrame) -> DataFrame:
 
     A source's passes all follow one order, so that for each source two figures tell what is taken: whole passes, and
     the place in the order up to which the last one goes. The document at that place is taken whole if half of it is.
-    No text is shuffled.
+    No text is shuffled. Documents without words, null texts among them, are in no mix and drop out. A null source is a source of
+    its own. Rows that share a doc_id (or have none) lie at one place in the order, and are taken together. All columns are
+    kept, whatever their names. No rows give none.
     """
     sized = sized_table(docs)
     items, figures = plan(sized)
@@ -119,8 +121,10 @@ def mixed(docs: DataFrame) -> DataFrame:
             if (s, p) in upto:
                 u = upto[s, p]
                 rows.append((s, p, u["negative"], u["order"], u["doc_id"]))
-    passes = _by_source(docs.sparkSession, rows, "_source string, _pass int, _negative boolean, _order long, _id long")
+    names = unused(docs.columns, "of", "pass", "negative", "order", "id")
+    passes = _by_source(docs.sparkSession, rows, ", ".join(f"`{n}` {t}" for n, t in zip(names, ("string", "int", "boolean", "long", "long"), strict=True)))
+    of, _, negative, order, id_ = names
     own = F.struct((shuffled(F.col("doc_id").cast("long")) < 0).alias("negative"), shuffled(F.col("doc_id").cast("long")).alias("order"), F.col("doc_id").cast("long").alias("doc_id"))
-    to = F.struct(F.col("_negative").alias("negative"), F.col("_order").alias("order"), F.col("_id").alias("doc_id"))
+    to = F.struct(F.col(negative).alias("negative"), F.col(order).alias("order"), F.col(id_).alias("doc_id"))
     wide = docs.where(size_of(F.col("text")) > 0)
-    return wide.join(passes, F.col("source").cast("string").eqNullSafe(F.col("_source")) & (own <= to)).select(*[docs[c] for c in docs.columns])
+    return wide.join(passes, F.col("source").cast("string").eqNullSafe(F.col(of)) & (own <= to)).select(*[docs[f"`{c}`"] for c in docs.columns])

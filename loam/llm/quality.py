@@ -174,10 +174,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def scores(docs: DataFrame, model: Model, score_name: str = "score", predicted_name: str = "predicted") -> DataFrame:
-    """docs with a score and a prediction added under new names; statistics are of the whole text."""
+    """docs with a score and a prediction added under names that docs doesn't have; statistics are of the whole text, however
+    long. Null and empty texts share one point. Other columns may have any names."""
     names = docs.columns
     text = names.index("text")
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + f", {score_name} double, {predicted_name} int"
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names) + f", `{score_name}` double, `{predicted_name}` int"
 
     def run(batches):
         for batch in batches:
