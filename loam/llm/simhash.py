@@ -9,6 +9,10 @@ Fingerprints that share a variant of a part are compared in the task that holds
 member: the least member that it is connected to there. Members of a large bucket are reached from one another, each looking
 only at those that nothing has reached yet, so a group of near copies, where almost all are reached at once, costs little more
 than one comparison a member. A bucket of more than SPLIT members is dealt out in pairs of blocks.
+
+Near copies in the sense of a Jaccard similarity need a radius so wide that parts are narrow. So sketches of the texts' shingles
+confirm what fingerprints suggest; and the larger a table, the more samples of the shingles make up a bucket with a variant, each
+fingerprint going to a few choices of samples, so that a bucket holds as few unlike texts at any size.
 """
 
 from dataclasses import dataclass
@@ -26,9 +30,13 @@ from .components import components, local_roots
 SEED = 42
 #: Rows that a task looks at together; members up to which a bucket is compared pair by pair, and from which on it is split.
 CHUNK, SMALL, SPLIT = 1 << 18, 64, 1 << 20
-#: Samples of a text's shingles that a sketch holds, of 4 bits each.
-SAMPLES = 16
-MIX = np.random.default_rng(SEED).integers(1, 1 << 62, SAMPLES, dtype="u8") * np.uint64(2) + np.uint64(1)
+#: Orders of a text's shingles, whose least ones are its samples: the last bit of each makes its sketch, four further bits of the
+#: first CHOSEN its choices.
+SAMPLES, CHOSEN = 64, 15
+MIX = np.random.default_rng(SEED).integers(0, 1 << 31, SAMPLES, dtype="u4") * np.uint32(2) + np.uint32(1)
+#: Unlike nodes that a bucket may hold on average; and by the number of samples that make up a bucket with a variant, how many
+#: choices of them there are. Two texts with a Jaccard similarity of 0.8 share a choice in 96 of 100 cases, more alike ones in more.
+UNLIKE, CHOICES = 512, (1, 2, 4, 5, 7)
 
 
 @dataclass(frozen=True)
@@ -50,9 +58,9 @@ class Rule:
         return self.apart < SAMPLES
 
 
-#: The contract's rule: fingerprints alone. And near copies: a Jaccard similarity of 0.8 or more makes samples differ with a
-#: chance of at most 0.19, so 6 or fewer of 16 in 98 of 100 cases; of unlike texts they differ with one of 0.94.
-FINGERPRINTS, NEAR_COPIES = Rule(), Rule(shingle=5, radius=8, parts=3, apart=6)
+#: The contract's rule: fingerprints alone. And near copies: at a Jaccard similarity of 0.8 fingerprints differ in 10 bits on
+#: average, and bits of the sketch with a chance of 0.1, so 10 or fewer of 64 in 95 of 100 cases; of unlike texts half of them differ.
+FINGERPRINTS, NEAR_COPIES = Rule(), Rule(shingle=5, radius=11, parts=4, apart=10)
 
 
 def _shingles(text: str | None, n: int) -> np.ndarray:
@@ -76,34 +84,41 @@ def _fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits((2 * counts > len(hashes)).astype("u1"), bitorder="little").view("<u8")[0])
 
 
-def _sketch(hashes: np.ndarray) -> int:
-    """4 bits of the least of all hashes, in each of SAMPLES orders of them."""
-    least = np.full(SAMPLES, np.iinfo("u8").max)
-    for at in range(0, len(hashes), 1 << 12):
-        x = hashes[at : at + (1 << 12), None] * MIX
-        x ^= x >> np.uint64(29)
-        x *= np.uint64(0xBF58476D1CE4E5B9)
+def _samples(hashes: np.ndarray) -> np.ndarray:
+    """The least of all hashes, of 32 bits, in each of SAMPLES orders of them; 0 for none."""
+    least = np.full(SAMPLES, np.iinfo("u4").max)
+    for at in range(0, len(hashes), 1 << 11):
+        x = hashes[at : at + (1 << 11), None].astype("u4") * MIX
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x85EBCA6B)
+        x ^= x >> np.uint32(13)
         least = np.minimum(least, x.min(axis=0))
-    return sum(int(v & np.uint64(15)) << 4 * i for i, v in enumerate(least)) if len(hashes) else 0
+    return least if len(hashes) else np.zeros(SAMPLES, "u4")
+
+
+def _sketch(hashes: np.ndarray) -> tuple[int, int]:
+    """The last bit of every sample, and the four above it of the first CHOSEN."""
+    least = _samples(hashes)
+    bits = int(np.packbits((least & 1).astype("u1"), bitorder="little").view("<u8")[0])
+    return bits, sum(int(v >> 1 & 15) << 4 * i for i, v in enumerate(least[:CHOSEN].tolist()))
 
 
 def fingerprints(docs: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
-    """(doc_id, mark, fp, sketch): fp and sketch as signed 64-bit numbers, the sketch 0 where the rule has none; mark a hash of
-    the text itself. ASCII letters count as lower case; words are split at ASCII white space."""
+    """(doc_id, mark, fp, sketch, choice): all but doc_id as signed 64-bit numbers, sketch and choice 0 where the rule has none; mark
+    a hash of the text itself. ASCII letters count as lower case; words are split at ASCII white space."""
     n, sketched = rule.shingle, rule.sketched
 
     def run(batches):
         for batch in batches:
-            fps, sketches = [], []
+            found = []
             for text in batch.column(2).to_pylist():
                 h = _shingles(text, n)
-                fps.append(_fingerprint(h) if len(h) else 0)
-                sketches.append(_sketch(h) if sketched else 0)
-            cols = [pa.array(np.array(c, "u8").view("i8")) for c in (fps, sketches)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cols], ["doc_id", "mark", "fp", "sketch"])
+                found.append((_fingerprint(h) if len(h) else 0, *(_sketch(h) if sketched else (0, 0))))
+            cols = np.array(found, "u8").reshape(-1, 3).view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in cols.T)], ["doc_id", "mark", "fp", "sketch", "choice"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return ids.mapInArrow(run, "doc_id long, mark long, fp long, sketch long")
+    return ids.mapInArrow(run, "doc_id long, mark long, fp long, sketch long, choice long")
 
 
 def ball(width: int, radius: int) -> list[int]:
@@ -128,12 +143,7 @@ def _near(rule: Rule):
 
     def near(a, b, s, t):
         close = np.bitwise_count(a ^ b) <= radius
-        if sketched:
-            x = s ^ t
-            x = x | (x >> np.uint64(1))
-            x = x | (x >> np.uint64(2))
-            close &= np.bitwise_count(x & np.uint64(0x1111111111111111)) <= apart
-        return close
+        return close & (np.bitwise_count(s ^ t) <= apart) if sketched else close
 
     return near
 
@@ -237,11 +247,36 @@ def _settle(rule: Rule, split: int | None):
     return run
 
 
+def chosen(nodes: int, rule: Rule) -> int:
+    """Samples that make up a bucket with a variant, for so many nodes."""
+    width = 64 // rule.parts
+    unlike = nodes * (width + 1) / (1 << width)
+    return next((k for k in range(len(CHOICES)) if unlike <= UNLIKE * 16**k), len(CHOICES) - 1) if rule.sketched else 0
+
+
+def _keys(rule: Rule, samples: int) -> Column:
+    """The buckets of a node: its variants, each with every choice of so many samples."""
+    variants = _variants(F.col("fp"), rule.parts)
+    if not samples:
+        return variants
+    wide = 64 // rule.parts + 3
+    # Choice number t takes the samples from t * samples on, and starts again from the first.
+    nibble = lambda at: F.shiftrightunsigned("choice", 4 * (at % CHOSEN)).bitwiseAND(F.lit(15))
+    sets = []
+    for t in range(CHOICES[samples]):
+        picked = F.lit(t).cast("long")
+        for k in range(samples):
+            picked = F.shiftleft(picked, 4).bitwiseOR(nibble(t * samples + k + t * samples // CHOSEN))
+        sets.append(F.shiftleft(picked, wide))
+    return F.flatten(F.transform(F.array(*sets), lambda c: F.transform(variants, lambda v: c.bitwiseOR(v))))
+
+
 def links(nodes: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
-    """(a, b): links between nodes (node, fp, sketch), enough to connect all that the rule connects."""
+    """(a, b): links between nodes (node, fp, sketch, choice), a written table, enough to connect all that the rule connects."""
     n, schema = partitions(nodes.sparkSession), "a long, b long, key long"
+    samples = chosen(nodes.count(), rule) if rule.sketched else 0
     lie = lambda df: df.repartition(n, "key").sortWithinPartitions("key").select("key", "node", "fp", "sketch")
-    dealt = nodes.select("node", "fp", "sketch", F.explode(_variants(F.col("fp"), rule.parts)).alias("key"))
+    dealt = nodes.select("node", "fp", "sketch", F.explode(_keys(rule, samples)).alias("key"))
     met = saved(lie(dealt).mapInArrow(_settle(rule, SPLIT), schema))
     found, crowd = met.where("b is not null"), met.where("b is null").select(F.col("a").alias("node"), F.col("key").alias("bucket"))
     if crowd.limit(1).count():
@@ -255,13 +290,13 @@ def links(nodes: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
 
 
 def _labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, mark, fp, sketch) of each document, and (fp, sketch, n, first) of each node of the links: the documents that it
-    stands for, and the least (no id?, doc_id, mark) that it reaches."""
+    """fingerprints() of each document, and (fp, sketch, n, first) of each node of the links: the documents that it stands for,
+    and the least (no id?, doc_id, mark) that it reaches."""
     prints = saved(fingerprints(docs, rule))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    nodes = prints.groupBy("fp", "sketch").agg(F.min(place).alias("least"), F.count("*").alias("n"))
+    nodes = prints.groupBy("fp", "sketch").agg(F.min(place).alias("least"), F.count("*").alias("n"), F.min("choice").alias("choice"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id() if rule.sketched else F.col("fp")))
-    joined = components(links(nodes.select("node", "fp", "sketch"), rule))
+    joined = components(links(nodes.select("node", "fp", "sketch", "choice"), rule))
     linked = saved(nodes.join(joined, "node"))
     first = linked.unionByName(nodes.join(joined.select(F.col("component").alias("node")).distinct(), "node").withColumn("component", F.col("node")))
     first = first.groupBy("component").agg(F.min("least").alias("first"), F.count("*").alias("members"))

@@ -123,6 +123,9 @@ def test_simhash(docs, rows, none, bucket_sizes):
     assert simhash.near_duplicates(none).count() == 0
 
 
+NODES = "node long, fp long, sketch long, choice long"
+
+
 def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
@@ -146,13 +149,12 @@ def test_links_of_close_numbers(spark, rule, bucket_sizes):
     fps = chains(rng, 12 if rule.radius > 4 else 6)
     ball = int(rng.integers(0, 1 << 63))
     fps += sorted({ball} | {ball ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 64, (150, 2))} - set(fps))
-    sketch = [int(rng.integers(0, 1 << 20)) << 44 if rule.sketched else 0 for _ in fps]
-    rows = [(i, signed(f), signed(s)) for i, (f, s) in enumerate(zip(fps, sketch, strict=True))]
-    links = simhash.links(spark.createDataFrame(rows, "node long, fp long, sketch long"), rule).collect()
+    sketch = [int(rng.integers(0, 1 << 21)) << 43 if rule.sketched else 0 for _ in fps]
+    rows = [(i, signed(f), signed(s), 0) for i, (f, s) in enumerate(zip(fps, sketch, strict=True))]
+    links = simhash.links(spark.createDataFrame(rows, NODES), rule).collect()
 
     def close(a, b):
-        apart = sum((sketch[a] >> 4 * k & 15) != (sketch[b] >> 4 * k & 15) for k in range(16))
-        return (fps[a] ^ fps[b]).bit_count() <= rule.radius and apart <= rule.apart
+        return (fps[a] ^ fps[b]).bit_count() <= rule.radius and (sketch[a] ^ sketch[b]).bit_count() <= rule.apart
 
     true = [(a, b) for a in range(len(fps)) for b in range(a) if close(a, b)]
     assert reach(range(len(fps)), true) == reach(range(len(fps)), [(r["a"], r["b"]) for r in links])
@@ -174,8 +176,8 @@ def test_a_large_ball_leaves_one_row_a_member(spark):
     """10,000 near copies in one bucket: links grow with the members, not with their pairs."""
     rng = np.random.default_rng(2)
     high = sorted({sum(1 << int(b) for b in rng.choice(32, 4, replace=False)) for _ in range(14_000)})[:10_000]
-    rows = [(i, signed(h << 32 | 12345), 0) for i, h in enumerate(high)]
-    links = simhash.links(spark.createDataFrame(rows, "node long, fp long, sketch long"))
+    rows = [(i, signed(h << 32 | 12345), 0, 0) for i, h in enumerate(high)]
+    links = simhash.links(spark.createDataFrame(rows, NODES))
     got = links.collect()
     assert len(got) <= 66 * len(rows) and set(reach(range(len(rows)), [(r["a"], r["b"]) for r in got]).values()) == {0}
 
@@ -414,6 +416,25 @@ def test_one_document_of_each_component(spark, docs, rows, rule):
     assert sorted(map(str, (r["doc_id"] for r in simhash.one_of_each(odd, rule).collect()))) == ["3", "3", "None"]
 
 
+@pytest.mark.parametrize(("nodes", "samples"), [(10**6, 0), (3 * 10**6, 1), (10**8, 2), (10**9, 3)])
+def test_larger_tables_lose_no_near_copies(nodes, samples, spark, monkeypatch):
+    """Texts of which one word in 150 differs are one component, however many samples a bucket is made up with."""
+    assert simhash.chosen(nodes, simhash.NEAR_COPIES) == samples and simhash.chosen(nodes, simhash.FINGERPRINTS) == 0
+    monkeypatch.setattr(simhash, "UNLIKE", simhash.UNLIKE * 40 / nodes)
+    rng = np.random.default_rng(13)
+    texts = []
+    for g in range(40):
+        base = [f"w{int(x)}" for x in rng.integers(0, 5000, 300)]
+        for c in range(3):
+            own = list(base)
+            for at in rng.choice(300, 2 if c else 0, replace=False):
+                own[at] = f"new{g}{c}{at}"
+            texts.append(" ".join(own))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = [r["doc_id"] for r in simhash.one_of_each(docs).select("doc_id").collect()]
+    assert set(range(0, 120, 3)) <= set(kept) and len(kept) <= 40 + 3
+
+
 def test_unlike_short_texts_stay(spark):
     """Few shingles set few bits, so that fingerprints of unlike short texts are close: their sketches keep them apart."""
     texts = [f"w{i} x{i} y{i} z{i} v{i} u{i}" for i in range(3000)]

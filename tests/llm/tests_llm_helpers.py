@@ -40,12 +40,12 @@ def brute_simhash(text, n=4):
 
 
 def brute_sketch(text, rule):
-    """The last 4 bits of the least of all shingles, in each of 16 orders."""
+    """The last bit of the least of all shingles, in each of 64 orders."""
     h, out = shingles_of(text, rule.shingle), []
     for m in simhash.MIX.tolist():
-        mixed = [(x * m) % (1 << 64) for x in h]
-        mixed = [((x ^ x >> 29) * 0xBF58476D1CE4E5B9) % (1 << 64) for x in mixed]
-        out.append(min(mixed) % 16 if h else 0)
+        mixed = [(x * m) % (1 << 32) for x in h]
+        mixed = [((x ^ x >> 15) * 0x85EBCA6B) % (1 << 32) for x in mixed]
+        out.append(min(x ^ x >> 13 for x in mixed) % 2 if h else 0)
     return out
 
 
