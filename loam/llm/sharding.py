@@ -17,8 +17,9 @@ from .common import join_spread, partitions, range_of, saved, with_offsets
 SHARDS, OVERHEAD = 40, 16
 #: Of a shard's bytes: a record from the first on is placed by itself, a group up to the second stays whole.
 LARGE, WHOLE = 0.02, 0.01
-#: Sampled keys a range; how often its even share of the bytes a range may hold; rows of a large group that are numbered together.
-SAMPLE, OVERFULL, TOGETHER = 64, 2.0, 100_000
+#: Sampled keys a range; how often its even share of the bytes a range may hold; rows of a large group that are numbered together
+#: at least, and the parts of it a task at most.
+SAMPLE, OVERFULL, TOGETHER, PARTS = 64, 2.0, 256, 4
 
 
 def _quantiles(sample: list[tuple[int, float]], ranges: int) -> list[int]:
@@ -115,7 +116,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, group_limit: float = WHOLE) ->
     # At most shards / group_limit groups are larger.
     split = groups.where(~whole).select(*group, "n", "start")
     apart = small.join(F.broadcast(split), group)
-    apart = apart.withColumn("part", F.pmod(F.xxhash64("doc_id", "row"), F.ceil(F.col("n") / TOGETHER)))
+    apart = apart.withColumn("part", F.pmod(F.xxhash64("doc_id", "row"), F.least(F.ceil(F.col("n") / TOGETHER), F.lit(PARTS * n))))
     apart = with_offsets(apart, group, "part", {"rank": F.lit(1)})
     number = F.row_number().over(Window.partitionBy(*group, "part").orderBy("doc_id", "row")) - 1 + F.col("rank_before")
     middle = F.col("start") + number * F.col("size") + F.col("size") / 2
