@@ -11,12 +11,13 @@ only at those that nothing has reached yet, so a group of near copies, where alm
 than one comparison a member. A bucket of more than SPLIT members is dealt out in pairs of blocks.
 
 Near copies in the sense of a Jaccard similarity need a radius so wide that parts are narrow. So sketches of the texts' shingles
-confirm what fingerprints suggest; and the larger a table, the more samples of the shingles make up a bucket with a variant, each
-fingerprint going to a few choices of samples, so that a bucket holds as few unlike texts at any size.
+confirm what fingerprints suggest; and where a table is so large that buckets fill with unlike texts, a bucket's task takes it apart
+by the sketches: those that differ in few bits are at most 2 apart in one of their parts too. Nothing is lost by that: at any size
+exactly those are connected that the rule links.
 """
 
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,12 @@ from .components import components, local_roots
 SEED = 42
 #: Rows that a task looks at together; members up to which a bucket is compared pair by pair, and from which on it is split.
 CHUNK, SMALL, SPLIT = 1 << 18, 64, 1 << 20
-#: Orders of a text's shingles, whose least ones are its samples: the last bit of each makes its sketch, four further bits of the
-#: first CHOSEN its choices.
-SAMPLES, CHOSEN = 64, 15
+#: Orders of a text's shingles, whose least ones are its samples: the last bit of each makes its sketch.
+SAMPLES = 64
 MIX = np.random.default_rng(SEED).integers(0, 1 << 31, SAMPLES, dtype="u4") * np.uint32(2) + np.uint32(1)
-#: Unlike nodes that a bucket may hold on average; and by the number of samples that make up a bucket with a variant, how many
-#: choices of them there are. Two texts with a Jaccard similarity of 0.8 share a choice in 96 of 100 cases, more alike ones in more.
-UNLIKE, CHOICES = 512, (1, 2, 4, 5, 7)
+#: Unlike nodes on average from which on buckets of more members are taken apart by the sketches, once so many seeds have reached
+#: their near copies.
+UNLIKE, SEEDS = 512, 8
 
 
 @dataclass(frozen=True)
@@ -57,6 +57,11 @@ class Rule:
     def sketched(self) -> bool:
         return self.apart < SAMPLES
 
+    @property
+    def sketch_parts(self) -> int:
+        """So many that sketches which `apart` allows are at most 2 apart in one of them."""
+        return self.apart // 3 + 1
+
 
 #: The contract's rule: fingerprints alone. And near copies: at a Jaccard similarity of 0.8 fingerprints differ in 10 bits on
 #: average, and bits of the sketch with a chance of 0.1, so 10 or fewer of 64 in 95 of 100 cases; of unlike texts half of them differ.
@@ -96,15 +101,13 @@ def _samples(hashes: np.ndarray) -> np.ndarray:
     return least if len(hashes) else np.zeros(SAMPLES, "u4")
 
 
-def _sketch(hashes: np.ndarray) -> tuple[int, int]:
-    """The last bit of every sample, and the four above it of the first CHOSEN."""
-    least = _samples(hashes)
-    bits = int(np.packbits((least & 1).astype("u1"), bitorder="little").view("<u8")[0])
-    return bits, sum(int(v >> 1 & 15) << 4 * i for i, v in enumerate(least[:CHOSEN].tolist()))
+def _sketch(hashes: np.ndarray) -> int:
+    """The last bit of every sample."""
+    return int(np.packbits((_samples(hashes) & 1).astype("u1"), bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
-    """(doc_id, mark, fp, sketch, choice): all but doc_id as signed 64-bit numbers, sketch and choice 0 where the rule has none; mark
+    """(doc_id, mark, fp, sketch): all but doc_id as signed 64-bit numbers, sketch 0 where the rule has none; mark
     a hash of the text itself. ASCII letters count as lower case; words are split at ASCII white space."""
     n, sketched = rule.shingle, rule.sketched
 
@@ -113,12 +116,12 @@ def fingerprints(docs: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
             found = []
             for text in batch.column(2).to_pylist():
                 h = _shingles(text, n)
-                found.append((_fingerprint(h) if len(h) else 0, *(_sketch(h) if sketched else (0, 0))))
-            cols = np.array(found, "u8").reshape(-1, 3).view("i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in cols.T)], ["doc_id", "mark", "fp", "sketch", "choice"])
+                found.append((_fingerprint(h) if len(h) else 0, _sketch(h) if sketched else 0))
+            cols = np.array(found, "u8").reshape(-1, 2).view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c) for c in cols.T)], ["doc_id", "mark", "fp", "sketch"])
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    return ids.mapInArrow(run, "doc_id long, mark long, fp long, sketch long, choice long")
+    return ids.mapInArrow(run, "doc_id long, mark long, fp long, sketch long")
 
 
 def ball(width: int, radius: int) -> list[int]:
@@ -148,11 +151,12 @@ def _near(rule: Rule):
     return near
 
 
-def _reached(fp: np.ndarray, sketch: np.ndarray, near):
+def _reached(fp: np.ndarray, sketch: np.ndarray, near, seeds: int | None = None):
     """Links (seed, member) of a bucket: members are reached from a seed over ever more members, each of which is compared
-    with those that aren't reached yet."""
+    with those that aren't reached yet. After so many seeds, if given, nothing that is left is near what they reached."""
     left = np.arange(len(fp))
-    while len(left):
+    while len(left) and seeds != 0:
+        seeds = seeds and seeds - 1
         seed, left = left[0], left[1:]
         queue = [np.array([seed])]
         while queue and len(left):
@@ -168,12 +172,57 @@ def _reached(fp: np.ndarray, sketch: np.ndarray, near):
                 left = left[~hit]
 
 
-def _resolved(key, node, fp, sketch, near):
-    """(node, least node that it is connected to within these rows), for those that aren't the least. Rows lie by key, ascending."""
+def _meetings(sketch, parts):
+    """(keys, members), ascending by key and whole keys at a time: members whose sketches are at most 2 bits apart in one of so
+    many parts have a key in common there."""
+    cuts = [round(i * 64 / parts) for i in range(parts + 1)]
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        part = sketch >> np.uint64(low) & np.uint64((1 << high - low) - 1)
+        keys = (part ^ np.array(ball(high - low, 1), "u8")[:, None]).ravel()
+        # Numbers of 16 bits are sorted by radix.
+        keys = keys.astype("u2") if high - low <= 16 else keys
+        order, at = np.argsort(keys, kind="stable"), 0
+        keys = keys[order]
+        while at < len(keys):
+            # CHUNK rows, and the rest of the last key.
+            end = int(np.searchsorted(keys, keys[min(at + CHUNK, len(keys)) - 1], side="right"))
+            yield keys[at:end], order[at:end] % len(sketch)
+            at = end
+
+
+def _joined(key, fp, sketch, near, parts):
+    """Pairs (i, j) of rows enough to connect all that `near` connects within a key. Rows lie by key, ascending. Buckets of over
+    UNLIKE rows are taken apart by so many parts of the sketches, if any."""
     n = len(key)
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if n else np.zeros(0, int)
+    same = key[1:] == key[:-1]
+    first = np.flatnonzero(np.r_[True, ~same]) if n else np.zeros(0, int)
     size = np.diff(np.r_[first, n])
-    after = np.repeat(first + size, size) - np.arange(n) - 1
+    large = np.flatnonzero(size > SMALL)
+    at = np.flatnonzero(same if not len(large) else same & (np.repeat(size, size) <= SMALL)[:-1])
+    for step in range(1, SMALL):
+        if step > 1:
+            at = at[at + step < n]
+            at = at[key[at] == key[at + step]]
+        if not len(at):
+            break
+        i = at[near(fp[at], fp[at + step], sketch[at], sketch[at + step])]
+        yield i, i + step
+    for lo, m in zip(first[large].tolist(), size[large].tolist(), strict=True):
+        f, s, left = fp[lo : lo + m], sketch[lo : lo + m], np.ones(m, bool)
+        apart = parts and m > UNLIKE
+        for i, j in _reached(f, s, near, SEEDS if apart else None):
+            left[i], left[j] = False, False
+            yield lo + i, lo + j
+        if apart:
+            rest = np.flatnonzero(left)
+            for keys, some in _meetings(s[rest], parts):
+                some = rest[some]
+                for i, j in _joined(keys, f[some], s[some], near, 0):
+                    yield lo + some[i], lo + some[j]
+
+
+def _resolved(key, node, fp, sketch, near, parts=0):
+    """(node, least node that it is connected to within these rows), for those that aren't the least. Rows lie by key, ascending."""
     ids, own = np.unique(node, return_inverse=True)
     root, held, waiting = np.arange(len(ids)), [], 0
 
@@ -182,20 +231,10 @@ def _resolved(key, node, fp, sketch, near):
         root = local_roots(root, *(np.concatenate(x) for x in zip(*held, strict=True))) if held else root
         held, waiting = [], 0
 
-    at = np.flatnonzero((after > 0) & (np.repeat(size, size) <= SMALL))
-    for step in range(1, SMALL):
-        at = at[after[at] >= step]
-        if not len(at):
-            break
-        i = at[near(fp[at], fp[at + step], sketch[at], sketch[at + step])]
-        held.append((own[i], own[i + step]))
-        waiting += len(i)
-        if waiting > CHUNK:
-            merge()
-    for lo, m in zip(first[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        mine = own[lo : lo + m]
-        held += [(mine[a], mine[b]) for a, b in _reached(fp[lo : lo + m], sketch[lo : lo + m], near)]
-        waiting += m
+    for i, j in _joined(key, fp, sketch, near, parts):
+        if len(i):
+            held.append((own[i], own[j]))
+            waiting += len(i)
         if waiting > CHUNK:
             merge()
     merge()
@@ -203,8 +242,9 @@ def _resolved(key, node, fp, sketch, near):
     return ids[some], ids[root[some]]
 
 
-def _settle(rule: Rule, split: int | None):
-    """Of rows (key, node, fp, sketch) sorted by key: links (a, b), and (a, null, key) for members of a bucket of over `split`."""
+def _settle(rule: Rule, split: int | None, parts: int = 0):
+    """Of rows (key, node, fp, sketch) sorted by key: links (a, b), and (a, null, key) for members of a bucket of over `split`.
+    Buckets are taken apart by so many parts of the sketches, if any."""
     near = _near(rule)
 
     def links(a, b=None, key=None):
@@ -213,7 +253,7 @@ def _settle(rule: Rule, split: int | None):
 
     def solved(cols):
         key, node, fp, sketch = cols
-        a, b = _resolved(key, node, fp.view("u8"), sketch.view("u8"), near)
+        a, b = _resolved(key, node, fp.view("u8"), sketch.view("u8"), near, parts)
         if len(a):
             yield links(a, b)
 
@@ -248,36 +288,20 @@ def _settle(rule: Rule, split: int | None):
 
 
 def chosen(nodes: int, rule: Rule) -> int:
-    """Samples that make up a bucket with a variant, for so many nodes."""
+    """How many times 16-fold buckets hold more unlike nodes than UNLIKE on average, for so many nodes. Large buckets of a small table
+    are near copies, reached at once; from 1 on it costs less to take them apart. Links are enough for the same components either way."""
     width = 64 // rule.parts
     unlike = nodes * (width + 1) / (1 << width)
-    return next((k for k in range(len(CHOICES)) if unlike <= UNLIKE * 16**k), len(CHOICES) - 1) if rule.sketched else 0
-
-
-def _keys(rule: Rule, samples: int) -> Column:
-    """The buckets of a node: its variants, each with every choice of so many samples."""
-    variants = _variants(F.col("fp"), rule.parts)
-    if not samples:
-        return variants
-    wide = 64 // rule.parts + 3
-    # Choice number t takes the samples from t * samples on, and starts again from the first.
-    nibble = lambda at: F.shiftrightunsigned("choice", 4 * (at % CHOSEN)).bitwiseAND(F.lit(15))
-    sets = []
-    for t in range(CHOICES[samples]):
-        picked = F.lit(t).cast("long")
-        for k in range(samples):
-            picked = F.shiftleft(picked, 4).bitwiseOR(nibble(t * samples + k + t * samples // CHOSEN))
-        sets.append(F.shiftleft(picked, wide))
-    return F.flatten(F.transform(F.array(*sets), lambda c: F.transform(variants, lambda v: c.bitwiseOR(v))))
+    return next(k for k in count() if unlike <= UNLIKE * 16**k) if rule.sketched else 0
 
 
 def links(nodes: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
-    """(a, b): links between nodes (node, fp, sketch, choice), a written table, enough to connect all that the rule connects."""
+    """(a, b): links between nodes (node, fp, sketch), a written table, enough to connect all that the rule connects."""
     n, schema = partitions(nodes.sparkSession), "a long, b long, key long"
-    samples = chosen(nodes.count(), rule) if rule.sketched else 0
+    parts = rule.sketch_parts if rule.sketched and chosen(nodes.count(), rule) else 0
     lie = lambda df: df.repartition(n, "key").sortWithinPartitions("key").select("key", "node", "fp", "sketch")
-    dealt = nodes.select("node", "fp", "sketch", F.explode(_keys(rule, samples)).alias("key"))
-    met = saved(lie(dealt).mapInArrow(_settle(rule, SPLIT), schema))
+    dealt = nodes.select("node", "fp", "sketch", F.explode(_variants(F.col("fp"), rule.parts)).alias("key"))
+    met = saved(lie(dealt).mapInArrow(_settle(rule, SPLIT, parts), schema))
     found, crowd = met.where("b is not null"), met.where("b is null").select(F.col("a").alias("node"), F.col("key").alias("bucket"))
     if crowd.limit(1).count():
         # At most one row a SPLIT variants that were dealt.
@@ -285,7 +309,7 @@ def links(nodes: DataFrame, rule: Rule = FINGERPRINTS) -> DataFrame:
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
         crowd = crowd.join(F.broadcast(blocks), "bucket").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         crowd = crowd.select("node", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("key")).join(nodes, "node")
-        found = found.unionByName(lie(crowd).mapInArrow(_settle(rule, None), schema))
+        found = found.unionByName(lie(crowd).mapInArrow(_settle(rule, None, parts), schema))
     return found.select("a", "b").distinct()
 
 
@@ -294,9 +318,9 @@ def _labelled(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     and the least (no id?, doc_id, mark) that it reaches."""
     prints = saved(fingerprints(docs, rule))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    nodes = prints.groupBy("fp", "sketch").agg(F.min(place).alias("least"), F.count("*").alias("n"), F.min("choice").alias("choice"))
+    nodes = prints.groupBy("fp", "sketch").agg(F.min(place).alias("least"), F.count("*").alias("n"))
     nodes = saved(nodes.withColumn("node", F.monotonically_increasing_id() if rule.sketched else F.col("fp")))
-    joined = components(links(nodes.select("node", "fp", "sketch", "choice"), rule))
+    joined = components(links(nodes.select("node", "fp", "sketch"), rule))
     linked = saved(nodes.join(joined, "node"))
     first = linked.unionByName(nodes.join(joined.select(F.col("component").alias("node")).distinct(), "node").withColumn("component", F.col("node")))
     first = first.groupBy("component").agg(F.min("least").alias("first"), F.count("*").alias("members"))

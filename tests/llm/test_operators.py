@@ -435,6 +435,41 @@ def test_larger_tables_lose_no_near_copies(nodes, samples, spark, monkeypatch):
     assert set(range(0, 120, 3)) <= set(kept) and len(kept) <= 40 + 3
 
 
+@pytest.mark.parametrize("unlike", [simhash.UNLIKE, 1e-3, 1e-9])
+def test_links_are_the_same_at_any_size(spark, unlike, bucket_sizes, monkeypatch):
+    """Unlike nodes of one bucket and, of each, one at both limits, one beyond either: whatever the size that a table is taken for and
+    whatever other samples of their shingles are, those within the limits are connected, and no others."""
+    monkeypatch.setattr(simhash, "UNLIKE", unlike)
+    rng = np.random.default_rng(17)
+    flipped = lambda x, bits: x ^ sum(1 << int(b) for b in rng.choice(64, bits, replace=False))
+    nodes = []
+    for _ in range(150):
+        fp, sketch = int(rng.integers(0, 1 << 47)) << 16 | 0xBEEF, int(rng.integers(0, 1 << 63))
+        nodes += [(fp, sketch), (flipped(fp, 11), flipped(sketch, 10)), (flipped(fp, 12), sketch), (fp, flipped(sketch, 11))]
+    rows = [(i, signed(f), signed(s), int(rng.integers(0, 1 << 60))) for i, (f, s) in enumerate(nodes)]
+    assert (simhash.chosen(len(rows), simhash.NEAR_COPIES) > 0) == (unlike < 1)
+    links = simhash.links(spark.createDataFrame(rows, NODES), simhash.NEAR_COPIES).collect()
+    near = [(a, b) for a, (f, s) in enumerate(nodes) for b, (g, t) in enumerate(nodes[:a]) if (f ^ g).bit_count() <= 11 and (s ^ t).bit_count() <= 10]
+    got = reach(range(len(nodes)), [(r["a"], r["b"]) for r in links])
+    assert got == reach(range(len(nodes)), near) and all(got[i] == got[i + 1] for i in range(0, len(nodes), 4))
+
+
+@pytest.mark.parametrize("apart", [2, 10, 13])
+def test_meetings_lose_no_close_sketches(apart, monkeypatch):
+    """Sketches as far apart as the rule allows have a key in common, in which all that share it come at once."""
+    monkeypatch.setattr(simhash, "CHUNK", 100)
+    rng = np.random.default_rng(18)
+    a = rng.integers(0, 1 << 63, 200, dtype="u8")
+    b = a ^ np.array([sum(1 << int(i) for i in rng.choice(64, apart, replace=False)) for _ in a], "u8")
+    met = set()
+    for keys, members in simhash._meetings(np.r_[a, b], simhash.Rule(apart=apart).sketch_parts):
+        assert (keys[1:] >= keys[:-1]).all()
+        for k in np.unique(keys):
+            here = set(members[keys == k].tolist())
+            met |= {i for i in here if i + 200 in here}
+    assert met == set(range(200))
+
+
 def test_unlike_short_texts_stay(spark):
     """Few shingles set few bits, so that fingerprints of unlike short texts are close: their sketches keep them apart."""
     texts = [f"w{i} x{i} y{i} z{i} v{i} u{i}" for i in range(3000)]
