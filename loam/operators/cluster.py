@@ -37,7 +37,7 @@ def _by_blocks(hashes: DataFrame, near: Column, extra: list[str]) -> DataFrame:
     on = (left["i"] == right["i"]) & (left["j"] == right["j"]) & ((left["i"] != left["j"]) | (F.col("x") < F.col("y"))) & near
     if extra:
         on = on & F.col("_l").eqNullSafe(F.col("_r"))
-    return left.join(right, on).select(*[F.col("_l").alias("_g") for _ in extra], F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    return left.join(right.hint("merge"), on).select(*[F.col("_l").alias("_g") for _ in extra], F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
 
 def _by_bands(hashes: DataFrame, near: Column, extra: list[str], bands: int) -> DataFrame:
@@ -56,14 +56,15 @@ def _by_bands(hashes: DataFrame, near: Column, extra: list[str], bands: int) ->
     on = (left["key"] == right["key"]) & (F.col("x") < F.col("y")) & near
     if extra:
         on = on & F.col("_l").eqNullSafe(F.col("_r"))
-    return left.join(right, on).select(*[F.col("_l").alias("_g") for _ in extra], "x", "y").distinct()
+    return left.join(right.hint("merge"), on).select(*[F.col("_l").alias("_g") for _ in extra], "x", "y").distinct()
 
 
 def close_hashes(hashes: DataFrame, most: int) -> DataFrame:
     """(_g?, x, y): pairs x < y of different hashes h that differ in at most `most` bits, within a group `_g` if there is one.
 
     hashes: written, without repeats. Up to 11 bits, pairs are sought by the variants of bands; beyond, bands would be too narrow
-    to prune, and all are compared in pairs of blocks. Neither loses any.
+    to prune, and all are compared in pairs of blocks. Neither loses any. Both join by merging: Spark takes exploded rows to be as
+    small as their file, and would send them all through the driver.
     """
     extra = [c for c in hashes.columns if c == "_g"]
     near, bands = hamming(F.col("x"), F.col("y")) <= most, max(2, most // 3 + 1)

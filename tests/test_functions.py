@@ -122,6 +122,14 @@ def test_close_hashes_are_all_found(spark, grouped, most, monkeypatch):
     assert len(got) == len(true) > 20 and {(r["_g"] if grouped else 0, r["x"], r["y"]) for r in got} == true
 
 
+@pytest.mark.parametrize("most", [8, 24])
+def test_exploded_hashes_are_not_broadcast(spark, most, tmp_path):
+    """However small the file of the hashes is: their variants, or their rows for pairs of blocks, are many times as many."""
+    spark.range(1000).select(F.xxhash64("id").alias("h")).write.parquet(f"{tmp_path}/h")
+    plan = cluster.close_hashes(spark.read.parquet(f"{tmp_path}/h"), most)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_pairs_of_copies(spark):
     got = cluster.close_pairs(spark.createDataFrame([(0, 5), (1, 5), (2, 4), (3, -1), (4, None)], "ord long, h long"), 3).collect()
     assert sorted(map(tuple, got)) == [(0, 1, 0), (0, 2, 1), (1, 2, 1)]
